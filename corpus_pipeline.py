@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orgcurate.llm import bpe, decontaminate
+from orgcurate.llm import bpe, decontaminate, quality
 from orgcurate.llm._spark import table, written
 from orgcurate.llm.queries import word_bpe
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.filtered(docs, table(spark, sf_dir, "labels"))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
@@ -21,7 +25,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, word_bpe())
 
 
-STAGES: list[tuple[str, Stage]] = [("decontaminate", decontaminated), ("bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [("quality", good), ("decontaminate", decontaminated), ("bpe", tokens)]
 
 ORACLE_SQL = None
 

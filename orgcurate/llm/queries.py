@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality
+from . import bpe, decontaminate, html, license, quality, urls
 from ._spark import table
 
 
@@ -17,6 +17,10 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,10 +33,21 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.licenses(table(spark, sf_dir, "documents"))
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_html": op3_html,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_bpe": op8_bpe,
+    "op9_license": op9_license,
+    "op10_urls": op10_urls,
 }
 
 SQL: dict[str, str] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, license, quality, urls
+from . import bpe, decontaminate, html, license, quality, tokenstore, urls
 from ._spark import table
 
 
@@ -21,6 +21,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
 
 
+def op4_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenstore.stored(table(spark, sf_dir, "documents"), word_bpe())
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
+    "op4_tokenstore": op4_tokenstore,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_bpe": op8_bpe,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orgcurate.llm import bpe, decontaminate, quality
+from orgcurate.llm import bpe, decontaminate, near_dedup, quality, suffix_dedup
 from orgcurate.llm._spark import table, written
 from orgcurate.llm.queries import word_bpe
 
@@ -17,6 +17,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filtered(docs, table(spark, sf_dir, "labels"))
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.first_of_each(docs)
+
+
+def uncopied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.clean(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
@@ -25,7 +33,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, word_bpe())
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", good), ("decontaminate", decontaminated), ("bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [("quality", good), ("near_dedup", distinct), ("suffix_dedup", uncopied), ("decontaminate", decontaminated), ("bpe", tokens)]
 
 ORACLE_SQL = None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, license, quality, tokenstore, urls
+from . import bpe, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, urls
 from ._spark import table
 
 
@@ -17,6 +17,11 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
 
@@ -25,6 +30,10 @@ def op4_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.stored(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,8 +55,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_html": op3_html,
     "op4_tokenstore": op4_tokenstore,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_bpe": op8_bpe,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, urls
+from . import bpe, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
 from ._spark import table
 
 
@@ -18,6 +18,10 @@ def word_bpe() -> str:
 
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_html": op3_html,
     "op4_tokenstore": op4_tokenstore,

@@ -251,9 +251,9 @@ def parse_update_g3(spark, sf_dir):  # G3
 
 
 @query("""
-    SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'ambiguous values' ELSE '' END AS errors FROM part""")
+    SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'update_ambiguous' ELSE '' END AS errors FROM part""")
 def update_action_errors(spark, sf_dir):  # F14 F15
-    return cells(spark, sf_dir).select("p_partkey", F.array_join(grammar.action_errors(F.col("cell"), True), "|").alias("errors"))
+    return cells(spark, sf_dir).select("p_partkey", F.array_join(grammar.action_errors(F.col("cell"), ["add", "delete", "replace"]), "|").alias("errors"))
 
 
 @query("""
@@ -429,8 +429,8 @@ def distinct_ids(spark, sf_dir):  # A12
 
 @query(r"""
     WITH m AS (SELECT doc_id, list_concat(list_concat(
-        list_transform(list_distinct(regexp_extract_all(text, '(grid\.\d+\.[0-9a-f]{1,2})', 1)), lambda v: 'grid:' || v), list_transform(list_distinct(regexp_extract_all(text, '\b(Q[1-9]\d{2,})\b', 1)), lambda v: 'wikidata:' || v)), list_concat(
-        list_transform(list_distinct(regexp_extract_all(text, '\b(\d{4} ?\d{4} ?\d{4} ?\d{3}[\dX])\b', 1)), lambda v: 'isni:' || replace(v, ' ', '')), list_transform(list_distinct(regexp_extract_all(text, '(?:10\.13039/|\bfundref:?\s*)(\d{6,})', 1)), lambda v: 'fundref:' || v))) AS ids FROM documents)
+        list_transform(regexp_extract_all(text, '((?i:grid)\.[0-9]{4,8}\.(?i:[0-9a-z]{1,2}))', 1), lambda v: 'grid:' || lower(v)), list_transform(regexp_extract_all(text, '\b(Q\d+)\b', 1), lambda v: 'wikidata:' || v)), list_concat(
+        list_transform(regexp_extract_all(text, '\b(\d{4}\s\d{4}\s\d{4}\s\d{4}|\d{16})\b', 1), lambda v: 'isni:' || regexp_replace(v, '\s', '', 'g')), list_transform(regexp_extract_all(text, '\b(50\d{8})\b', 1), lambda v: 'fundref:' || v))) AS ids FROM documents)
     SELECT doc_id, array_to_string(list_sort(list_distinct(ids)), '|') AS ids FROM m WHERE len(ids) > 0""")
 def mine_external_ids(spark, sf_dir):  # X16 X17 X20
     d = read(spark, sf_dir, "documents").select("doc_id", text.mined_identifiers(F.col("text")).alias("ids"))

@@ -52,18 +52,22 @@ def spelt(parsed: Column) -> Column:
     return F.array_join(F.transform(parsed, lambda p: F.concat(p["op"], F.lit("="), p["value"])), "|")
 
 
-def action_errors(x: Column, multi: bool) -> Column:
-    """what is wrong with the actions of an update cell, in a fixed order."""
-    p = parse_spans(x)
-    ops = F.array_distinct(F.transform(p, lambda v: v["op"]))
-    bare = ~x.rlike(rf"(?i)(?:{OPS})==") & (F.lower(strip(x)) != "delete")
-    found = [
-        F.when(F.size(ops) > 2, F.lit("too many actions")),
-        F.when(F.array_contains(ops, "replace") & (F.size(ops) > 1), F.lit("replace with other actions")),
-        F.when((F.size(F.filter(ops, lambda o: o == "add")) > 0) & F.lit(not multi), F.lit("add on a single-value field")),
-        F.when(bare & F.contains(x, F.lit(";")) & F.lit(multi), F.lit("ambiguous values")),
-    ]
-    return F.filter(F.array(*found), lambda e: e.isNotNull())
+def action_errors(x: Column, allowed: list[str], may_clear: bool = True) -> Column:
+    """kinds of errors in the actions of a filled update cell, in a fixed order.
+
+    allowed: the field's actions; may_clear: whether all its values may be deleted."""
+    ops = F.array_distinct(F.transform(parse_spans(x), lambda v: v["op"]))
+    whole, marked = F.lower(strip(x)) == "delete", F.contains(x, F.lit("==")) | (F.lower(strip(x)) == "delete")
+    known = whole | x.rlike(rf"(?i)(?:{OPS})==")
+    has = lambda o: F.array_contains(ops, o)
+    found = F.array(
+        F.when(marked & ~known, F.lit("update_syntax_invalid")),
+        F.when(known & (F.size(ops) > 2), F.lit("update_action_conflict")),
+        F.when(known & has("replace") & (has("add") | has("delete")), F.lit("update_action_conflict")),
+        F.when(known & (F.size(F.array_except(ops, F.array(*map(F.lit, allowed)))) > 0), F.lit("update_action_invalid")),
+        F.when(~marked & F.lit("add" in allowed), F.lit("update_ambiguous")),
+    )
+    return F.when(whole & F.lit(not may_clear), F.array(F.lit("update_action_invalid"))).otherwise(F.filter(found, lambda e: e.isNotNull()))
 
 
 def from_issue(x: Column) -> Column:

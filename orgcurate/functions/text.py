@@ -113,14 +113,14 @@ def search_name(x: Column) -> Column:
 
 
 #: Shapes of external identifiers in free text.
-IDENTIFIERS = {"grid": r"(grid\.\d+\.[0-9a-f]{1,2})", "wikidata": r"\b(Q[1-9]\d{2,})\b", "isni": r"\b(\d{4} ?\d{4} ?\d{4} ?\d{3}[\dX])\b", "fundref": r"(?:10\.13039/|\bfundref:?\s*)(\d{6,})"}
+IDENTIFIERS = {"grid": r"((?i:grid)\.[0-9]{4,8}\.(?i:[0-9a-z]{1,2}))", "wikidata": r"\b(Q\d+)\b", "isni": r"\b(\d{4}\s\d{4}\s\d{4}\s\d{4}|\d{16})\b", "fundref": r"\b(50\d{8})\b"}
 
 
 def mined_identifiers(x: Column) -> Column:
     """kind:value of every external identifier in the text, in order of kinds."""
 
     def of(kind: str, pattern: str) -> Column:
-        return F.transform(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(1))), lambda v: F.concat(F.lit(kind + ":"), F.regexp_replace(v, " ", "")))
+        return F.transform(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(1))), lambda v: F.concat(F.lit(kind + ":"), F.regexp_replace(F.lower(v) if kind == "grid" else v, r"\s", "")))
 
     return F.array_distinct(F.flatten(F.array(*(of(k, p) for k, p in IDENTIFIERS.items()))))
 

@@ -14,13 +14,13 @@ STATUSES = ["active", "inactive", "withdrawn"]
 TYPES = ["archive", "company", "education", "facility", "funder", "government", "healthcare", "nonprofit", "other"]
 LANGUAGES = "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu".split()
 SHAPES = {
-    "url": r"^https?://",
-    "wikipedia": r"^https?://[a-z\-]{2,12}\.wikipedia\.org/wiki/.+$",
-    "isni": r"^\d{4} \d{4} \d{4} \d{3}[0-9X]$",
-    "wikidata": r"^Q[1-9]\d*$",
-    "fundref": r"^[1-9]\d+$",
-    "geonames": r"^[1-9]\d+$",
-    "domain": r"^(?!-)(?:[a-z0-9](?:[a-z0-9\-]{0,61}[a-z0-9])?\.)+[a-z]{2,}$",
+    "url": r"^https?://.*",
+    "wikipedia": r"^(?:https?://[a-z]{2,3}.wikipedia.org/.*|delete)",
+    "isni": r"^(?:[0]{4} [0-9]{4} [0-9]{4} [0-9]{3}[0-9X](\*preferred)?|delete)",
+    "wikidata": r"^(?:Q[1-9]\d*(?:\*preferred)?|delete)$",
+    "fundref": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
+    "geonames": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
+    "domain": r"^((?=[a-z0-9-]{1,63}\.)[a-z0-9]+(-[a-z0-9]+)*\.)+[a-z]{2,63}$",
     "id": r"^https://ror\.org/0[a-z0-9]{6}[0-9]{2}$",
 }
 

@@ -36,6 +36,8 @@ from ._spark import ship, written
 from ._text import U64, mix, power_pair, random_table, slices, strings
 
 LENGTH, GRAM, SHALLOW = 100, 32, 40
+#: Columns added to the documents on the way, under names that theirs will not have.
+ID, SPANS = "suffix dedup id", "suffix dedup spans"
 SPREAD = LENGTH - GRAM + 1
 VALUES = random_table(31)
 PLACE = U64((1 << 30) - 1)
@@ -310,15 +312,15 @@ def numbered(docs: DataFrame) -> DataFrame:
     """docs with id: doc_id, or where that is null or repeated somewhere, ranks in its order."""
     odd = docs.select("doc_id").groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
     if not odd:
-        return docs.withColumn("id", F.col("doc_id").cast("long"))
+        return docs.withColumn(ID, F.col("doc_id").cast("long"))
     ordered = docs.repartitionByRange("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).sortWithinPartitions("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    return written(ordered.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    return written(ordered.withColumn(ID, F.monotonically_increasing_id()), "numbered")
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """docs (with id) and spans, array<struct<s, e>>: byte intervals to remove, in any order, may overlap."""
+    """docs (with ID) and SPANS, array<struct<s, e>>: byte intervals to remove, in any order, may overlap."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col("id").alias("doc_id"), "text")
+    texts = docs.select(F.col(f"`{ID}`").alias("doc_id"), "text")
     runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "doc_id", "at")
     found = written(runs.mapInArrow(told_apart, "doc_id long, at long, key long"), "runs")
     wanted = found.filter("key is not null").groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("wanted"))  # a document's own runs
@@ -326,8 +328,8 @@ def spans(docs: DataFrame) -> DataFrame:
     more = context.repartition("key").sortWithinPartitions("key", "doc_id", "at").mapInArrow(compared, "doc_id long, at long, key long")
     start = F.shiftright("at", 16)
     span = F.struct(start.cast("int").alias("s"), (start + F.shiftright("at", 8).bitwiseAND(255) + LENGTH).cast("int").alias("e"))
-    all_ = found.filter("key is null").unionByName(more).select(F.col("doc_id").alias("id"), span.alias("span"))
-    return docs.join(all_.groupBy("id").agg(F.collect_list("span").alias("spans")), "id", "left")
+    all_ = found.filter("key is null").unionByName(more).select(F.col("doc_id").alias(ID), span.alias("span"))
+    return docs.join(all_.groupBy(f"`{ID}`").agg(F.collect_list("span").alias(SPANS)), ID, "left")
 
 
 def merged(found: list[dict] | None) -> list[tuple[int, int]]:
@@ -342,13 +344,13 @@ def merged(found: list[dict] | None) -> list[tuple[int, int]]:
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    d = spans(numbered(docs.select("doc_id", "text"))).select("doc_id", "text", "spans")
+    d = spans(numbered(docs.select("doc_id", "text"))).select("doc_id", "text", F.col(f"`{SPANS}`"))
     schema = pa.schema([("doc_id", to_arrow_schema(d.schema).field("doc_id").type), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text, found in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
+            for text, found in zip(b.column("text").to_pylist(), b.column(SPANS).to_pylist(), strict=True):
                 raw, cut, h, last = (text or "").encode(), merged(found), hashlib.sha256(), 0
                 for s, e in cut:
                     h.update(raw[last:s])
@@ -366,13 +368,13 @@ def clean(docs: DataFrame) -> DataFrame:
 
     A character goes if all its bytes do; documents of which nothing is left go too.
     """
-    d = spans(numbered(docs)).drop("id")
+    d = spans(numbered(docs))
     schema = to_arrow_schema(docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, keep = [], []
-            for text, found in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
+            for text, found in zip(b.column("text").to_pylist(), b.column(SPANS).to_pylist(), strict=True):
                 if found:
                     raw, last, parts = text.encode(), 0, []
                     for s, e in merged(found):
@@ -399,4 +401,4 @@ def clean(docs: DataFrame) -> DataFrame:
                 cols.append(c)
             yield pa.RecordBatch.from_arrays(cols, schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return d.select(*(F.col(f"`{c}`") for c in docs.columns), "spans").mapInArrow(run, docs.schema)
+    return d.select(*(F.col(f"`{c}`") for c in docs.columns), F.col(f"`{SPANS}`")).mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ SHAPES = {
     "fundref": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
     "geonames": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
     "domain": r"^((?=[a-z0-9-]{1,63}\.)[a-z0-9]+(-[a-z0-9]+)*\.)+[a-z]{2,63}$",
-    "id": r"^https://ror\.org/0[a-z0-9]{6}[0-9]{2}$",
+    "id": r"^https://[a-z]+\.org/0[a-z0-9]{6}[0-9]{2}$",
 }
 
 

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import grammar, text
-from .operators import duplicates, fields, history, integrity, languages, relations, reshape
+from .functions import grammar, issues, text, vectorised
+from .operators import duplicates, fields, history, integrity, languages, relations, releases, reshape
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -483,3 +483,58 @@ def release_counts(spark, sf_dir):  # A11 K9
 def search_text(spark, sf_dir):  # X18 X19
     p = read(spark, sf_dir, "part")
     return p.select("p_partkey", text.escape_query(F.concat(F.lit("("), F.col("p_name"), F.lit(') "a+b"'))).alias("escaped"), F.replace(text.search_name(F.concat("p_name", F.lit(" (x) 'y'"))), F.lit(" y"), F.lit("  y")).alias("plain"))
+
+
+@query("""
+    WITH e AS (SELECT c_custkey AS record, c_custkey + CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END AS related, CASE WHEN c_custkey % 7 = 0 THEN 'Odd' ELSE 'Parent' END AS type, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_name END AS label FROM customer),
+    k AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 <> 0)
+    SELECT record, related, type, 'record does not exist' AS problem FROM e WHERE record NOT IN (SELECT id FROM k)
+    UNION ALL SELECT record, related, type, 'related record does not exist' FROM e WHERE related NOT IN (SELECT id FROM k)
+    UNION ALL SELECT record, related, type, 'record is not in the release' FROM e WHERE record IN (SELECT id FROM k) AND record % 2 <> 0
+    UNION ALL SELECT record, related, type, 'record is related to itself' FROM e WHERE record = related
+    UNION ALL SELECT record, related, type, 'unknown type' FROM e WHERE type = 'Odd' UNION ALL SELECT record, related, type, 'label is empty' FROM e WHERE label = ''""")
+def edge_problems(spark, sf_dir):  # J13 F23
+    c, k = read(spark, sf_dir, "customer"), F.col("c_custkey")
+    e = c.select(k.alias("record"), (k + F.when(k % 10 == 0, 0).otherwise(1)).alias("related"), F.when(k % 7 == 0, "Odd").otherwise("Parent").alias("type"), F.when(k % 11 == 0, "").otherwise(F.col("c_name")).alias("label"))
+    return releases.edge_problems(e, c.filter("c_custkey % 2 = 0").select(k.alias("record")), c.filter("c_custkey % 3 <> 0").select(k.alias("record")))
+
+
+@query("""
+    SELECT s_suppkey AS record, s_nationkey AS related, n_name AS name, CASE WHEN s_nationkey % 2 = 0 THEN 'release' ELSE 'registry' END AS found_in, CAST(round_even(200.0 * length(n_name) / (2 * length(n_name) + s_suppkey % 3), 0) AS INT) AS score
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def relation_name_scores(spark, sf_dir):  # J12 X8
+    n = read(spark, sf_dir, "nation")
+    e = read(spark, sf_dir, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    e = e.select(F.col("s_suppkey").alias("record"), F.col("s_nationkey").alias("related"), F.concat("n_name", F.repeat(F.lit("#"), (F.col("s_suppkey") % 3).cast("int"))).alias("label"))
+    names = n.select(F.col("n_nationkey").alias("record"), F.col("n_name").alias("name"))
+    return releases.relation_name_scores(e, names.filter("record % 2 = 0"), names).drop("label")
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'not published' WHEN c_custkey % 3 = 0 THEN 'differs' ELSE 'same' END AS verdict FROM customer""")
+def release_verdicts(spark, sf_dir):  # J19 O7
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    out = c.filter("c_custkey % 5 <> 0").withColumn("c_name", F.when(F.col("c_custkey") % 3 == 0, F.lower("c_name")).otherwise(F.col("c_name")))
+    return releases.release_verdicts(c, out, "c_custkey", F.struct("c_name", "c_mktsegment"))
+
+
+@query(r"""
+    SELECT c_custkey, c_name AS name, '' AS city, c_mktsegment || ' | ' || c_nationkey AS notes, 'Name: ' || c_name || chr(10) || chr(10) || '# Notes' || chr(10) || c_mktsegment || ' | ' || c_nationkey || chr(10) || '# End' AS cleaned FROM customer""")
+def issue_fields(spark, sf_dir):  # X21 X22 X23
+    body = F.concat(F.lit("Name:  "), "c_name", F.lit("\nCity: \n\n# Notes\n"), "c_mktsegment", F.lit(" | "), F.col("c_nationkey").cast("string"), F.lit("\n# End\n"))
+    c = read(spark, sf_dir, "customer").select("c_custkey", body.alias("b"))
+    return c.select("c_custkey", issues.field(F.col("b"), "Name").alias("name"), issues.field(F.col("b"), "City").alias("city"), issues.section(F.col("b"), "Notes").alias("notes"), F.replace(issues.cleaned(F.col("b")), F.lit("Name:  "), F.lit("Name: ")).alias("cleaned"))
+
+
+@query(r"""SELECT p_partkey, regexp_replace(trim(p_name), '\s+', ' ', 'g') AS name FROM part""")
+def normalize_name(spark, sf_dir):  # X13: zero-width characters are put in and must go
+    return read(spark, sf_dir, "part").select("p_partkey", vectorised.normalize_name(F.concat(F.lit("\u200b "), F.regexp_replace("p_name", " ", "\u00a0 "))).alias("name"))
+
+
+@query("""
+    WITH r AS (SELECT min(p_partkey) AS record, lower(p_name) AS name FROM part GROUP BY lower(p_name)), f AS (SELECT p_partkey AS funder, lower(p_name) AS name FROM part)
+    SELECT record, funder, 'name' AS match FROM r JOIN f USING (name)""")
+def funder_matches(spark, sf_dir):  # J11
+    p = read(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("name"))
+    r = p.groupBy("name").agg(F.min("p_partkey").alias("record")).withColumn("aliases", F.array().cast("array<string>"))
+    return releases.funder_matches(r, p.select(F.col("p_partkey").alias("funder"), "name"), 100)

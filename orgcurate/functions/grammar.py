@@ -74,3 +74,14 @@ def from_issue(x: Column) -> Column:
     """`field.op==value | field2.delete_field` to `field:op==value`, joined by semicolons."""
     one = lambda p: F.concat(F.regexp_extract(p, r"^([\w.]+?)\.(?:add|delete|replace)", 1), F.lit(":"), F.regexp_extract(p, r"^[\w.]+?\.((?:add|delete|replace)\S*)", 1))
     return F.array_join(F.transform(F.filter(F.transform(F.split(x, r"\|"), strip), lambda p: p.rlike(r"^[\w.]+?\.(?:add|delete|replace)")), one), ";")
+
+
+def merged_updates(x: Column) -> Column:
+    """`field.op==a | field.op==b` with the values of one field and operation put
+    together, in the order in which they come first; parts of another form are dropped."""
+    shape = rf"(?s)^([\w.]+\.(?:{OPS}))==(.*)$"
+    parts = F.filter(F.transform(F.split(x, r"\|"), strip), lambda p: p.rlike(shape))
+    entries = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, shape, 1).alias("key"), strip(F.regexp_extract(p, shape, 2)).alias("value")))
+    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    line = lambda k: F.concat(k, F.lit("=="), F.array_join(F.array_distinct(F.transform(F.filter(entries, lambda e: e["key"] == k), lambda e: e["value"])), ";"))
+    return F.array_join(F.transform(keys, line), " | ")

@@ -92,3 +92,8 @@ def test_version_order(spark):
 
 def test_truncated(spark):
     assert values(spark, text.truncated, ("x" * 120,), ("y" * 100,)) == ["x" * 97 + "...", "y" * 100]
+
+
+def test_merged_updates(spark):
+    got = values(spark, grammar.merged_updates, ("names.add==a | status.replace==x | names.add==b|names.add==a",), ("no update",), (None,))
+    assert got == ["names.add==a;b | status.replace==x", "", None]

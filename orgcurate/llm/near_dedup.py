@@ -10,11 +10,15 @@ all samples of a band are candidates, and the similarity itself, worked out on b
 whole texts, decides. Classes are the connected components of the links.
 
 Texts with equal shingles and counts are one class from the start, by partial
-aggregation. In a band's bucket each remaining text is tested against the bucket's
-first text and the one before it, so work is linear in the bucket; buckets are split
-by PARTS before that, so that none falls to one task whole. Texts whose similarity is
-THRESHOLD share a bucket in at least one band with probability
-1 - (1 - THRESHOLD**ROWS)**BANDS, over 0.99999.
+aggregation. In a band's bucket each remaining text is first tested against the bucket's
+first text and the one before it, which joins most of what is alike; buckets are split
+by PARTS for that, so that none falls to one task whole. Then every pair that shares a
+bucket and is not in one class yet is tested too: a bucket is cut into blocks of BLOCK
+texts or so, and each pair of blocks is a group of its own, so that the work of a large
+bucket, which grows with its square, is spread over tasks. So no link between texts of
+a bucket depends on the order of doc_id. Texts whose similarity is THRESHOLD share a
+bucket in at least one band with probability 1 - (1 - THRESHOLD**ROWS)**BANDS, over
+0.99999.
 
 Defined results: null, empty and blank texts and documents with a null doc_id are a
 class of their own; the class id is the least doc_id of the class; rows that repeat a
@@ -36,7 +40,7 @@ from ._text import MULT, U64, Words, combine, mix, random_table, slices, strings
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 2
-BUCKETS, PARTS = 1 << 16, 64
+BUCKETS, PARTS, BLOCK = 1 << 16, 64, 64
 LUT, VALUES = table_of(lambda b: b != 32 and not 9 <= b <= 13, seed=41)
 
 
@@ -197,6 +201,17 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return common / total if total else 0.0
 
 
+def weighted(column: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted hashes, weights) of each text's shingles."""
+    out = []
+    for i, j, d, o in slices(*strings(column)):
+        row, h, n = shingles(d, o)
+        w = n * idf.value[bucket(h)]
+        cut = np.searchsorted(row, np.arange(j - i + 1))
+        out += [(h[x:y], w[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return out
+
+
 def links(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs whose whole texts are similar enough."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -204,25 +219,57 @@ def links(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame
     both = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def weighted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
-        for i, j, d, o in slices(*strings(column)):
-            row, h, n = shingles(d, o)
-            w = n * idf.value[bucket(h)]
-            cut = np.searchsorted(row, np.arange(j - i + 1))
-            out += [(h[x:y], w[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 1000):
                 b = batch.slice(k, 1000)
-                ok = [similarity(x, y) >= threshold for x, y in zip(weighted(b.column("text_a")), weighted(b.column("text_b")), strict=True)]
+                ok = [similarity(x, y) >= threshold for x, y in zip(weighted(b.column("text_a"), idf), weighted(b.column("text_b"), idf), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def blocks(labelled: DataFrame) -> DataFrame:
+    """key, i, j, block, doc_id, root, keys: the texts of each bucket with more than one
+    class, under every pair of blocks (i <= j) that their own block is part of."""
+    rows = labelled.select(F.explode("keys").alias("key"), "doc_id", "root", "keys")
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    rows = rows.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).alias("many")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("many"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
+    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "root", "keys")
+
+
+def links_within(blocked: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+    """a, b: pairs of classes that hold texts of a bucket that are similar enough. A pair of
+    texts is left out only if a link of its group has joined their classes already, or if
+    an earlier band has it too, whose bucket tests it."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(t: pa.Table) -> pa.Table:
+        key, i, j = (t.column(c)[0].as_py() for c in ("key", "i", "j"))
+        block, root = (t.column(c).to_numpy() for c in ("block", "root"))
+        keys = np.array(t.column("keys").to_pylist(), np.int64)
+        sets = weighted(pa.concat_arrays(t.column("text").chunks), idf)
+        whole = np.array([w.sum() for _, w in sets])
+        names, mine = np.unique(root, return_inverse=True)
+        out = []
+        for x in range(len(sets) - 1):
+            band = int(np.flatnonzero(keys[x] == key)[0])
+            at = np.arange(x + 1, len(sets))
+            ok = ~(keys[at, :band] == keys[x, :band]).any(1)
+            ok &= np.minimum(whole[at], whole[x]) >= (threshold - 1e-9) * np.maximum(whole[at], whole[x])  # the similarity is at most their ratio
+            if i < j:
+                ok &= block[at] != block[x]
+            for y in at[ok].tolist():
+                if mine[x] != mine[y] and similarity(sets[x], sets[y]) >= threshold:
+                    out.append((names[mine[x]], names[mine[y]]))
+                    mine[mine == mine[y]] = mine[x]
+        return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], schema=schema)
+
+    return blocked.join(texts, "doc_id").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node connected to it) of every node of the edges.
 
@@ -251,8 +298,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     firsts = signed.filter("doc_id is not null").groupBy("print").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("doc_id"))
     firsts = written(firsts.select("print", "doc_id", "keys"), "firsts")
     found = written(links(candidates(firsts.select("doc_id", "keys")), docs, idf, threshold), "links")
-    roots = components(found)
-    heads = firsts.select("print", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("print", F.coalesce("root", "doc_id").alias("class_id"))
+    roots = components(found).withColumnRenamed("node", "doc_id")
+    labelled = written(firsts.join(roots, "doc_id", "left").select("print", "doc_id", F.coalesce("root", "doc_id").alias("root"), "keys"), "labelled")
+    joined = components(written(links_within(blocks(labelled), docs, idf, threshold), "links"))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
+    heads = labelled.select("print", "root").join(joined, "root", "left").select("print", F.coalesce("least", "root").alias("class_id"))
     of = signed.select("doc_id", "print").join(heads, "print").select("doc_id", "class_id").filter("doc_id is not null")
     rest = docs.filter(F.coalesce(F.trim(F.regexp_replace("text", r"[\x09-\x0D]", " ")), F.lit("")).eqNullSafe("") | F.col("doc_id").isNull())
     rest = rest.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"))

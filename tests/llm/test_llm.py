@@ -217,6 +217,24 @@ def test_samples_agree_as_often_as_the_weighted_similarity(monkeypatch):
     assert abs((s[0] == s[1]).mean() - near_dedup.similarity(x, y)) < 0.06
 
 
+@pytest.mark.parametrize("place", [0, 50])
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 8])
+def test_near_dedup_joins_copies_that_are_like_the_original_only(spark, monkeypatch, place, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "inverse", lambda count: np.ones(near_dedup.BUCKETS))  # as in a large corpus, a new word weighs no more
+    r = random.Random(5)
+    original = [f"w{r.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for _ in range(100):
+        copy = list(original)
+        for at in r.sample(range(5, 295, 5), 4):
+            copy[at] = f"new{r.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    texts.insert(place, " ".join(original))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.class_id for x in near_dedup.classes(table).collect()} == {0}
+
+
 def test_near_dedup_of_odd_tables(docs, rows):
     got = near_dedup.classes(docs).collect()
     assert len(got) == len(rows) and all(r.doc_id is None or r.class_id <= r.doc_id for r in got)

@@ -8,6 +8,11 @@ differences between block and template. Every line of every whole text is looked
 Defined results: null and empty texts have no blocks; a block that no template
 confirms is counted but names no license; ties between templates go to the name that
 sorts first; repeated documents are scanned each.
+
+A line that no template confirms alone is tried again with its neighbours, the lines
+around it up to blank ones, BEFORE and AFTER at most, so that wrapped notices are found; a
+template must then stand in them close together. SPDX identifiers are read as they are. A
+BSD notice whose conditions follow without the clause on names is BSD-2-Clause.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from ._spark import arrow_type, ship
 
-# Usual notices of public licenses.
+# Usual notices of public licenses, each on one line.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
@@ -35,7 +40,21 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "proprietary": "All rights reserved.",
 }
-CUES = re.compile(r"licen[cs]|copyright|©|\(c\)|rights reserved|creative commons|public domain|spdx|redistribut|warrant|\bcc[ -]by\b", re.I)
+# Standard headers and opening passages of public licenses, sought in joined lines.
+PASSAGES = {
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "CC0 1.0 Universal"],
+    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "GPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-3.0": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"],
+}
+BEFORE, AFTER = 6, 8
+SPDX = re.compile(r"SPDX-License-Identifier:\s*([^\n]*)", re.I)
+MARKS = re.compile(r"^[\s#*/;%<>!-]+")
+CUES = re.compile(r"licen[cs]|copyright|©|\(c\)|rights reserved|creative commons|public domain|spdx|redistribut|warrant|\bcc[ -]by\b|\bcc0\b|permission is hereby|permission to use", re.I)
 #: A template is confirmed if at least this share of its words stand in the block in order.
 CONFIRM = 0.8
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
@@ -62,6 +81,56 @@ def named(block: str) -> tuple[str, int, int]:
     return "", max(0, -saved[0][0]), 0
 
 
+@lru_cache(maxsize=1)
+def passages() -> list[tuple[str, list[str]]]:
+    """(license, words) of every passage and one-line notice, the longest first."""
+    every = [(k, t) for k, ts in PASSAGES.items() for t in ts] + list(TEMPLATES.items())
+    return sorted(((k, WORD.findall(t.lower())) for k, t in every), key=lambda x: (-len(x[1]), x[0]))
+
+
+@lru_cache(maxsize=4096)
+def named_within(block: str) -> str:
+    """The license whose passage stands in the joined lines, the one with fewest changed words; or empty."""
+    mine = WORD.findall(block.lower())
+    best: tuple[float, str] = (1.0, "")
+    for k, words in passages():
+        found = [m for m in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_matching_blocks() if m.size]
+        if not found:
+            continue
+        span = mine[found[0].b : found[-1].b + found[-1].size]
+        same = sum(m.size for m in found)
+        whole = same == len(words) == len(span) if len(words) < 12 else same >= CONFIRM * len(words) and len(span) <= 1.25 * len(words)
+        if whole and not differs(words, span):
+            changed = (len(words) + len(span) - 2 * same) / (len(words) + len(span))
+            best = min(best, (changed, k)) if best[1] else (changed, k)
+    return best[1]
+
+
+def around(lines: list[str], i: int) -> str:
+    """Line i with its neighbours up to blank lines, without comment marks."""
+    a, b = i, i + 1
+    while a > max(0, i - BEFORE) and MARKS.sub("", lines[a - 1]):
+        a -= 1
+    while b < min(len(lines), i + 1 + AFTER) and MARKS.sub("", lines[b]):
+        b += 1
+    return " ".join(MARKS.sub("", x).strip() for x in lines[a:b])
+
+
+def of_line(lines: list[str], i: int) -> tuple[list[str], int]:
+    """(licenses, bytes saved) of a line with a cue."""
+    spdx = SPDX.search(lines[i])
+    if spdx:
+        return [x for x in re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*", spdx[1]) if x.upper() not in ("AND", "OR", "WITH")], 0
+    k, saved, _ = named(lines[i].strip())
+    k = k or named_within(around(lines, i))
+    if k == "BSD-3-Clause":
+        rest = " ".join(MARKS.sub("", x) for x in lines[i : i + 40]).lower()
+        rest = rest.split("this software is provided")[0]
+        if re.search(r"redistributions\s+in\s+binary\s+form", rest) and not re.search(r"neither\s+the\s+name|endorse\s+or\s+promote", rest):
+            k = "BSD-2-Clause"
+    return [k] if k else [], saved
+
+
 def differs(words: list[str], mine: list[str]) -> bool:
     """Whether the block changes a version number or a name of the template, which makes another license."""
     for tag, a, b, c, d in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_opcodes():
@@ -79,9 +148,10 @@ def licenses(docs: DataFrame) -> DataFrame:
     def scan(text: str | None) -> tuple[int, int, str, int]:
         if not text or not CUES.search(text):
             return 0, 0, "", 0
-        got = [named(x.strip()) for x in text.split("\n") if CUES.search(x)]
-        names = sorted({k for k, _, _ in got if k})
-        return len(got), sum(bool(k) for k, _, _ in got), ",".join(names), sum(s for k, s, _ in got if k)
+        lines = text.split("\n")
+        got = [of_line(lines, i) for i, x in enumerate(lines) if CUES.search(x)]
+        names = sorted({k for ks, _ in got for k in ks})
+        return len(got), sum(bool(ks) for ks, _ in got), ",".join(names), sum(s for ks, s in got if ks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -306,6 +306,20 @@ def test_licenses(spark):
     assert got == {1: (1, "Apache-2.0"), 2: (1, ""), 3: (0, ""), 4: (1, ""), 5: (2, "MIT,proprietary")}
 
 
+def test_licenses_of_wrapped_texts(spark):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version."
+    mit = 'Copyright (c) 2020 A\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons'
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain this.\n2. Redistributions in binary form must reproduce this.\n"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."
+    texts = {
+        mit: "MIT", gpl.format("", 3): "GPL-3.0", gpl.format("", 2): "GPL-2.0", gpl.format("Affero ", 3): "AGPL-3.0", isc: "ISC", bsd: "BSD-2-Clause",
+        bsd + "3. Neither the name of the holder may be used.\n": "BSD-3-Clause", "// SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT", "Licensed under the Apache\nLicense, Version 2.0.": "Apache-2.0",
+        "Licensed under CC BY-SA\n4.0.": "CC-BY-SA-4.0", "Released under the foreign\nlicense": "", "CC0 1.0\nUniversal": "CC0-1.0",
+    }
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.licenses for r in license.licenses(table).orderBy("doc_id").collect()] == list(texts.values())
+
+
 def test_url_rules_and_trees(spark):
     rows = [(1, "http://A.example.COM/en/71?x"), (2, "https://com/en/"), (3, "http://b.example.net/de/8"), (4, "http://x.net/de/9#y"), (5, None), (6, "no scheme"), (7, "http://xcom/en/1"), (8, "http://a.org"), (9, "http://a.com/en")]
     table = spark.createDataFrame(rows, "page_id long, url string").unionByName(spark.range(400).select((F.col("id") + 100).alias("page_id"), F.when(F.col("id") % 4 == 0, F.concat(F.lit("http://free-casino.example.org/a/"), "id")).otherwise(F.concat(F.lit("http://plain"), F.col("id") % 9, F.lit(".example.org/a/"), "id")).alias("url")))

@@ -538,3 +538,12 @@ def funder_matches(spark, sf_dir):  # J11
     p = read(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("name"))
     r = p.groupBy("name").agg(F.min("p_partkey").alias("record")).withColumn("aliases", F.array().cast("array<string>"))
     return releases.funder_matches(r, p.select(F.col("p_partkey").alias("funder"), "name"), 100)
+
+
+@query()
+def funder_matches_all(spark, sf_dir):  # J11 at the reference's threshold; too slow in DuckDB, so a brute-force test takes the place of SQL
+    p = read(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("name"))
+    reversed_ = F.array_join(F.reverse(F.split("name", " ")), " ")
+    r = p.select(F.col("p_partkey").alias("record"), "name", F.array(reversed_).alias("aliases"))
+    given = F.when(F.col("p_partkey") % 7 == 0, reversed_).when(F.col("p_partkey") % 5 == 0, F.concat("name", F.lit("s"))).otherwise(F.col("name"))
+    return releases.funder_matches(r, p.select(F.col("p_partkey").alias("funder"), given.alias("name")), 90)

@@ -12,6 +12,7 @@ url are read.
 
 from __future__ import annotations
 
+import json
 import math
 from functools import reduce
 
@@ -121,12 +122,16 @@ class Trees:
 
 
 def rates(rows: list) -> dict[str, float]:
-    """Share of label 1 by host suffix in the labelled sample, smoothed; at most 1,000 suffixes."""
+    """Share of label 1 by host suffix in the labelled sample, smoothed."""
     total: dict[str, list[int]] = {}
     for r in rows:
         total.setdefault(r.suffix or "", []).append(r.label)
-    most = sorted(total, key=lambda s: (-len(total[s]), s))[:1000]
-    return {s: round((sum(total[s]) + 1) / (len(total[s]) + 10), 6) for s in most}
+    return {s: round((sum(total[s]) + 1) / (len(total[s]) + 10), 6) for s in sorted(total)}
+
+
+def rate_column(rate: dict[str, float]) -> Column:
+    """The rate of the column `suffix`, from one constant map; 0.1 for suffixes it lacks."""
+    return F.coalesce(F.from_json(F.lit(json.dumps(rate)), "map<string,double>")[F.col("suffix")], F.lit(0.1))
 
 
 def judged(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
@@ -138,11 +143,6 @@ def judged(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tupl
     rate = rates(rows)
     x = np.array([[rate.get(r.suffix or "", 0.1) if f == "suffix_rate" else r[f] for f in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))
     trees = Trees(x, np.array([r.label for r in rows], float))
-    known = F.lit(0.1)
-    for s, v in rate.items():
-        known = F.when(F.col("suffix") == s, v).otherwise(known) if len(rate) <= 64 else known
-    if len(rate) > 64:
-        known = F.coalesce(F.get(F.split(F.lit(",".join(str(v) for v in rate.values())), ",").cast("array<double>"), (F.array_position(F.split(F.lit(" ".join(rate)), " "), F.col("suffix")) - 1).cast("int")), F.lit(0.1))
-    d = lexical(pages).withColumn("suffix_rate", known).withColumn("score", F.round(1 / (1 + F.exp(-trees.column())), 6))
+    d = lexical(pages).withColumn("suffix_rate", rate_column(rate)).withColumn("score", F.round(1 / (1 + F.exp(-trees.column())), 6))
     text, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     return d.select("page_id", "host", "path", text.alias("rule"), F.coalesce(verdict, F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")

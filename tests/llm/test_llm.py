@@ -330,6 +330,19 @@ def test_url_rules_and_trees(spark):
     assert urls.judged(table.limit(0)).collect() == []
 
 
+def test_url_suffix_rates_at_every_size(spark):
+    for n in (0, 3, 70, 3000):
+        names = [f"s{i}" for i in range(n)] + ["a b", 'q"u,o', ""]
+        rate = urls.rates([urls_row(s, k % 2) for k, s in enumerate(names)])
+        assert len(rate) == len(names)
+        got = spark.createDataFrame([(s,) for s in [*names, "other"]], "suffix string").withColumn("r", urls.rate_column(rate)).collect()
+        assert {r.suffix: r.r for r in got} == rate | {"other": 0.1}
+
+
+def urls_row(suffix, label):
+    return collections.namedtuple("Row", "suffix label")(suffix, label)
+
+
 def test_pipeline_stages_in_order(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "suffix_dedup", "decontaminate", "bpe"]
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

@@ -66,12 +66,20 @@ def without_missing(edges: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def parents(hierarchy: DataFrame, most: int = 32) -> DataFrame:
-    """Node and root by pointer doubling over (node, parent); log2(depth) joins."""
+    """Node and root by pointer doubling over (node, parent); log2(depth) joins.
+
+    Rounds go on after `most` levels until no root changes; nodes below a cycle have no root,
+    so they end when every chain without one has been followed, by the number of rows."""
     d = hierarchy.select("node", F.coalesce("parent", "node").alias("root"))
-    for _ in range(max(1, most.bit_length())):
+    done, rows = 0, None
+    while True:
         up = d.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        d = d.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-    return d
+        new = d.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("up") != F.col("root")).alias("moved"))
+        d, done = new.select("node", "root"), done + 1
+        if done >= max(1, most.bit_length()):
+            rows = hierarchy.count() if rows is None else rows
+            if done > rows.bit_length() or not new.filter("moved").limit(1).count():
+                return d
 
 
 def sticky(df: DataFrame, partition: list[str], order: str, column: str) -> Column:

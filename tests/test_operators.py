@@ -132,6 +132,12 @@ def test_relations(spark):
     assert rows(relations.parents(tree)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "a")]
 
 
+def test_parents_of_deep_chains_and_cycles(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(150)], "node int, parent int")
+    assert {r.root for r in relations.parents(chain).collect()} == {0}
+    assert relations.parents(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "node int, parent int")).count() == 3
+
+
 def test_shuffled_partitions_change_nothing(spark):
     n = spark.createDataFrame([(x,) for x in ["cold anvil", "old anvil", "cold anvils", "warm pipe", "worm pipe"]], "name string")
     a = rows(duplicates.similar_names(n, None, "name"))

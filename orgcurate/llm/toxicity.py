@@ -3,7 +3,8 @@
 Words (runs of letters, lower-cased) are embedded by two hashes, of the whole word and
 of its first bytes; filters of several widths run over the words, each text keeps every
 filter's maximum, and a linear layer gives the logit. The model is trained in numpy on
-the driver, from at most SAMPLE labelled rows; scoring goes over every whole text. For
+the driver, from at most SAMPLE labelled rows, all their words (clean texts in pieces of
+PIECE words); scoring goes over every whole text. For
 scoring, the embedding is multiplied into the filters once, so a filter is a sum of
 table rows.
 
@@ -34,6 +35,7 @@ PREDICTED = 0.7
 BITS, DIM, WIDTHS, FILTERS = 17, 8, (1, 2, 3), 12
 EPOCHS, BATCH, RATE, PREFIX = 8, 32, 0.01, 4  # more epochs where labels are few: STEPS rows in all
 STEPS = 40_000
+PIECE = 400  # words of a clean training text that are one example
 LANGUAGES = {
     "en": "the of and to in is that for was with are this",
     "fr": "le les des une que est pour qui dans par sur et",
@@ -86,13 +88,14 @@ class Model:
         self.out_bias = np.float32(-1)
         self.floor = np.zeros(len(LANGUAGES), np.float32)
 
-    def train(self, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 62) -> None:
-        """Adam with sparse steps for the embedding. texts: (word, beginning) buckets."""
+    def train(self, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, clean: int | None = None, seed: int = 62) -> None:
+        """Adam with sparse steps for the embedding. texts: (word, beginning) buckets; clean:
+        the number of whole clean texts, by which labels are balanced, however many pieces they are."""
         r = np.random.default_rng(seed)
         dense = [*self.filters, *self.bias, self.out]
         m1, m2 = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense]
         square = np.full(len(self.embed), 1e-9, np.float32)
-        weight = np.where(y > 0, max(1.0, 0.5 * (len(y) - y.sum()) / max(1.0, y.sum())), 1).astype(np.float32)
+        weight = np.where(y > 0, max(1.0, 0.5 * (len(y) - y.sum() if clean is None else clean) / max(1.0, y.sum())), 1).astype(np.float32)
         step = 0
         epochs = max(EPOCHS, min(4 * EPOCHS, STEPS // max(1, len(texts))))
         for epoch in range(epochs):
@@ -171,6 +174,18 @@ class Model:
         return pooled @ self.out + self.out_bias
 
 
+def pieces(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
+    """Training texts, and the text each is from: toxic ones whole, since the toxic words may
+    stand anywhere, and all of each clean one in pieces of PIECE words."""
+    out, of = [], []
+    for i, (a, b) in enumerate(texts):
+        size = len(a) if y[i] else PIECE
+        for s in range(0, len(a), size):
+            out.append((a[s : s + size], b[s : s + size]))
+            of.append(i)
+    return out, of
+
+
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows outside the held-out third; a fifth of them sets the thresholds."""
     lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
@@ -190,9 +205,9 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model |
     apart = max(1, len(rows) // 5)
     model = Model()
     keep = [i for i in range(apart, len(rows)) if len(cut[i][0])]
-    short = [(a[s : s + 400], b[s : s + 400]) if y[i] == 0 else (a, b) for i in keep for a, b in [cut[i]] for s in ((0,) if y[i] else range(0, min(len(a), 800), 400))]
-    target = np.array([y[i] for i in keep for s in ((0,) if y[i] else range(0, min(len(cut[i][0]), 800), 400))], np.float32)
-    model.train(short, target)
+    short, of = pieces([cut[i] for i in keep], y[keep])
+    target = y[keep][of]
+    model.train(short, target, int((y[keep] == 0).sum()))
     words, tables = function_words(), model.tables()
     first = np.concatenate([[0], np.cumsum([len(cut[i][0]) for i in range(apart)])])
     a, b = (np.concatenate([cut[i][k] for i in range(apart)]) for k in (0, 1))

@@ -277,6 +277,17 @@ def test_toxicity_held_out(spark, docs, labels):
     assert {r.score for r in odd} == {0.0} and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in odd)
 
 
+def test_toxicity_learns_from_all_words_of_clean_texts(monkeypatch, spark):
+    seen = []
+    monkeypatch.setattr(toxicity.Model, "train", lambda self, texts, y, *clean: seen.extend(zip([len(a) for a, _ in texts], y.tolist(), strict=True)))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:40]
+    docs = spark.createDataFrame([(i, "word " * 1900) for i in ids], "doc_id long, text string")
+    toxicity.learned(docs, spark.createDataFrame([(i, int(k % 2)) for k, i in enumerate(ids)], "doc_id long, toxic int"))
+    toxic = sum(t == 1 for _, t in seen)
+    assert toxic and sum(n for n, t in seen if t == 1) == 1900 * toxic
+    assert sum(n for n, t in seen if t == 0) == 1900 * (32 - toxic)
+
+
 PAGE = """<html><head><title>T</title><script>var a = "</p>";</script></head><body><header><a href=/>Site</a></header><nav><ul><li><a href=/x>Menu</a></ul></nav>
 <article><h1>Head &amp; line</h1><p>First of the <b>two</b> parts.<br>Next&nbsp;line<p>Second one is that of the end.<div class="share-buttons">Share</div><aside>See</aside><form><p>Name</form></article>
 <section id=comments><p>Nice of you to say that in the end of it all, and that is what was to be said about this.</section><footer>&copy; me</footer>"""

@@ -35,7 +35,9 @@ from ._spark import arrow_type, ship
 from ._text import MULT, U64, Words, mix, power_pair, ragged, random_table, slices, strings, table_of
 
 #: Pieces kept by a worker, and the longest of them; pairs kept; the longest word merged in rounds; the longest proposed token.
-CACHE, SHORT, PAIRS, LONG, PROPOSED = 1_000_000, 32, 2_000_000, 64, 16
+CACHE, SHORT, PAIRS, LONG, PROPOSED = 1 << 18, 32, 1 << 20, 64, 16
+#: Bytes encoded at once: whole-array steps hold some ten numbers a byte.
+SLICE = 1 << 20
 END = "\ue000"  # stands for the end-of-word suffix, as one character
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 NOT_PLAIN = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
@@ -455,7 +457,7 @@ def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, int, np.nda
     """(first row, end row, ids, their number in each row) of slices of a batch."""
     bpe = encoder(path)
     data, off = strings(batch.column("text"))
-    for i, j, part, bounds in slices(data, off):
+    for i, j, part, bounds in slices(data, off, SLICE):
         yield i, j, *bpe.encode(part, bounds)
 
 

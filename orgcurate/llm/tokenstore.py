@@ -69,11 +69,6 @@ def values() -> np.ndarray:
     return random_table(21, 1 << 16)
 
 
-def packed(ids: np.ndarray) -> tuple[bytes, bool]:
-    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    return ids.astype("<u4" if wide else "<u2").tobytes(), wide
-
-
 def unpacked(raw: bytes, wide: bool) -> np.ndarray:
     return np.frombuffer(raw, "<u4" if wide else "<u2").astype("<u4")
 
@@ -83,11 +78,14 @@ def digest(ids: np.ndarray) -> bytes:
 
 
 STAGED = "doc_id {}, n_tokens long, chunks binary, fresh array<struct<digest:binary,n:int,wide:boolean,ids:binary>>"
+#: Digests that a task remembers, so as not to hand on the same chunk twice; beyond them the store itself keeps one copy.
+SEEN = 1 << 16
 
 
 def staged(docs: DataFrame, path: str) -> DataFrame:
     """Per document its recipe, and those of its chunks that its task meets first."""
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], STAGED.format(docs.schema["doc_id"].dataType.simpleString())).schema)
+    item = schema.field("fresh").type.value_type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -99,26 +97,27 @@ def staged(docs: DataFrame, path: str) -> DataFrame:
                 own = np.ones(len(full), bool)
                 own[end - 1] = False
                 full[own] = ids
-                bounds = cuts(full, end)
-                recipes: list[bytes] = []
-                fresh: list[list[dict]] = []
-                a = k = 0
-                bounds = bounds.tolist()
-                for e in end.tolist():
-                    names, new = [], []
-                    while a < e:
-                        c = bounds[k]
-                        name = digest(full[a:c])
-                        names.append(name)
-                        if name not in seen:
-                            raw, wide = packed(full[a:c])
-                            new.append({"digest": name, "n": c - a, "wide": wide, "ids": raw})
-                            if len(seen) < 1_000_000:  # beyond, the store itself still keeps one copy
-                                seen.add(name)
-                        a, k = c, k + 1
-                    recipes.append(b"".join(names))
-                    fresh.append(new)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(count, pa.int64()), pa.array(recipes, pa.binary()), pa.array(fresh, schema.field("fresh").type)], schema=schema)
+                stop = cuts(full, end)
+                start = np.append(0, stop[:-1])
+                raw = full.tobytes()
+                names = [hashlib.sha256(raw[4 * a : 4 * c]).digest()[:16] for a, c in zip(start.tolist(), stop.tolist(), strict=True)]
+                new, here = [], set()
+                for k, name in enumerate(names):
+                    if name not in seen and name not in here:
+                        here.add(name)
+                        new.append(k)
+                if len(seen) + len(here) <= SEEN:
+                    seen |= here
+                chunk_of = np.concatenate([[0], np.searchsorted(stop, end) + 1])  # each document's chunks end where it ends
+                joined_names = b"".join(names)
+                recipes = [joined_names[16 * x : 16 * y] for x, y in zip(chunk_of[:-1].tolist(), chunk_of[1:].tolist(), strict=True)]
+                first, last = start[new], stop[new]
+                wide = np.maximum.reduceat(full, start)[new] > 0xFFFF
+                narrow = full.astype("<u2").tobytes()
+                spelt = [raw[4 * x : 4 * y] if w else narrow[2 * x : 2 * y] for x, y, w in zip(first.tolist(), last.tolist(), wide.tolist(), strict=True)]
+                parts = pa.StructArray.from_arrays([pa.array([names[k] for k in new], pa.binary()), pa.array(last - first, pa.int32()), pa.array(wide), pa.array(spelt, pa.binary())], fields=list(item))
+                fresh = pa.ListArray.from_arrays(pa.array(np.searchsorted(np.array(new, np.int64), chunk_of), pa.int32()), parts)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(count, pa.int64()), pa.array(recipes, pa.binary()), fresh.cast(schema.field("fresh").type)], schema=schema)
 
     return docs.mapInArrow(run, STAGED.format(docs.schema["doc_id"].dataType.simpleString()))
 

@@ -3,7 +3,9 @@
 A shingle is WORDS consecutive words (runs of bytes other than ASCII white space, A-Z
 lower-cased); a text of fewer words is one shingle. Its weight is its count in the
 text times its inverse document frequency, which is counted over all documents in
-BUCKETS hash buckets, a table of fixed size. Each of BANDS x ROWS samples picks a
+BUCKETS hash cells; what other shingles add to a cell is estimated by the cells' median
+and taken off, so that frequent shingles weigh less in a corpus of any size, and those
+that do not stand out of their cell count as rare. Each of BANDS x ROWS samples picks a
 shingle and a level with a chance that follows the weights, so that two texts agree on
 a sample with a probability of their weighted Jaccard similarity; texts that agree on
 all samples of a band are candidates, and the similarity itself, worked out on both
@@ -13,12 +15,14 @@ Texts with equal shingles and counts are one class from the start, by partial
 aggregation. In a band's bucket each remaining text is first tested against the bucket's
 first text and the one before it, which joins most of what is alike; buckets are split
 by PARTS for that, so that none falls to one task whole. Then every pair that shares a
-bucket and is not in one class yet is tested too: a bucket is cut into blocks of BLOCK
-texts or so, and each pair of blocks is a group of its own, so that the work of a large
-bucket, which grows with its square, is spread over tasks. So no link between texts of
-a bucket depends on the order of doc_id. Texts whose similarity is THRESHOLD share a
-bucket in at least one band with probability 1 - (1 - THRESHOLD**ROWS)**BANDS, over
-0.99999.
+bucket and is not in one class yet is tested too. In buckets of more than BLOCK texts
+most pairs are far below the threshold, so their texts are sampled again in LONG_BANDS
+bands of LONG_ROWS, and pairs are those that agree on such a band. A bucket that is
+still large is cut into blocks of BLOCK texts or so, its largest class apart from the
+rest; each pair of blocks but those within the largest class is a group of its own. So
+no link between texts of a bucket depends on the order of doc_id. Texts whose similarity
+is THRESHOLD share a bucket in at least one band with probability
+1 - (1 - THRESHOLD**ROWS)**BANDS, over 0.99999, for either kind of bands.
 
 Defined results: null, empty and blank texts and documents with a null doc_id are a
 class of their own; the class id is the least doc_id of the class; rows that repeat a
@@ -40,7 +44,12 @@ from ._text import MULT, U64, Words, combine, mix, random_table, slices, strings
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 2
-BUCKETS, PARTS, BLOCK = 1 << 16, 64, 64
+LONG_BANDS, LONG_ROWS = 40, 6
+BUCKETS, PARTS, BLOCK = 1 << 18, 1024, 64
+#: Ids that may be broadcast: 8 MB.
+FEW = 1 << 20
+#: Cells that go through a shuffle as one value.
+CELLS = 1 << 12
 LUT, VALUES = table_of(lambda b: b != 32 and not 9 <= b <= 13, seed=41)
 
 
@@ -73,7 +82,7 @@ def _poly(h: np.ndarray) -> int:
 
 
 def bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> U64(48)).astype(np.int64) & (BUCKETS - 1)
+    return (h >> U64(40)).astype(np.int64) & (BUCKETS - 1)
 
 
 @lru_cache(maxsize=1)
@@ -90,14 +99,14 @@ def gamma_tables() -> tuple[np.ndarray, np.ndarray]:
     return quantiles(1 << 12).astype(np.float32), np.log(quantiles(1 << 16)).astype(np.float32)
 
 
-@lru_cache(maxsize=1)
-def seeds() -> np.ndarray:
-    return random_table(43, BANDS * ROWS)
+@lru_cache(maxsize=4)
+def seeds(many: int) -> np.ndarray:
+    return random_table(43, many)
 
 
-def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """(n, BANDS * ROWS) samples as 64-bit values; 0 for rows without shingles."""
-    out = np.zeros((n, BANDS * ROWS), U64)
+def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, many: int) -> np.ndarray:
+    """(n, many) samples as 64-bit values; 0 for rows without shingles."""
+    out = np.zeros((n, many), U64)
     if not len(row):
         return out
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
@@ -105,7 +114,7 @@ def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.nd
     log_w = np.log(weight).astype(np.float32)
     spread, log_c = gamma_tables()
     with np.errstate(over="ignore"):
-        for k, seed in enumerate(seeds().tolist()):
+        for k, seed in enumerate(seeds(many).tolist()):
             u = mix(h ^ U64(seed))
             r = spread[(u >> U64(52)).astype(np.int64)]
             beta = (u & U64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
@@ -118,33 +127,52 @@ def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.nd
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """Documents by shingle bucket, over all documents; the last number is that of documents.
+    """Documents by shingle cell, over all documents; the last number is that of documents.
+
+    Each task sums its own counts first, 64 groups of tasks sum theirs, and BUCKETS + 1
+    numbers come to the driver."""
+    schema = pa.schema([("block", pa.int32()), ("n", pa.binary())])
 
-    Each task sums its own counts first; BUCKETS + 1 numbers come to the driver."""
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+    def packed(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(BUCKETS + 1, np.int64)
+        count, many = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
             for i, j, d, o in slices(*strings(b.column("text"))):
                 _, h, _ = shingles(d, o)
-                count[:-1] += np.bincount(bucket(h), minlength=BUCKETS)
-                count[-1] += j - i
-        at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(count[at])], schema=schema)
+                count += np.bincount(bucket(h), minlength=BUCKETS)
+                many += j - i
+        if many:
+            yield packed({k: x for k, x in enumerate(np.split(count, BUCKETS // CELLS)) if x.any()} | {BUCKETS // CELLS: np.array([many])})
 
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("block").to_pylist(), b.column("n").to_pylist(), strict=True):
+                sums[k] = sums.get(k, 0) + np.frombuffer(x, np.int64)
+        if sums:
+            yield packed(sums)
+
+    kind = "block int, n binary"
+    d = docs.select("text").mapInArrow(run, kind).withColumn("group", F.spark_partition_id() % 64)
+    d = d.repartition("block", "group").select("block", "n").mapInArrow(summed, kind).repartition("block").mapInArrow(summed, kind)
     out = np.zeros(BUCKETS + 1, np.int64)
-    for r in docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r.bucket] = r.n
+    for r in d.collect():
+        x = np.frombuffer(r.n, np.int64)
+        out[r.block * CELLS : r.block * CELLS + len(x)] = x
     return out
 
 
 def inverse(count: np.ndarray) -> np.ndarray:
-    """Smoothed inverse document frequency of each bucket."""
-    return np.log((count[-1] + 1) / (count[:-1] + 1)).clip(0) + 1
+    """Smoothed inverse document frequency of each cell. The median is what a cell holds by
+    chance; a cell is that of a frequent shingle if it is three deviations above that."""
+    cells, noise = count[:-1], float(np.median(count[:-1]))
+    own = np.where(cells > noise + 3 * np.sqrt(noise), cells - noise, np.minimum(cells, 1))
+    return (np.log((count[-1] + 1) / (own + 1)).clip(0) + 1).astype(np.float32)
 
 
-def signatures(docs: DataFrame, idf) -> DataFrame:
+def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
     """doc_id, print (of all shingles with counts), keys (one for each band) of texts with words."""
     schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
@@ -153,9 +181,9 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
             ids = b.column("doc_id")
             for i, j, d, o in slices(*strings(b.column("text"))):
                 row, h, n = shingles(d, o)
-                s = samples(row, h, n * idf.value[bucket(h)], j - i).reshape(j - i, BANDS, ROWS)
+                s = samples(row, h, n * idf.value[bucket(h)], j - i, bands * rows).reshape(j - i, bands, rows)
                 with np.errstate(over="ignore"):
-                    key = mix(combine_rows(s) + np.arange(BANDS, dtype=U64) * U64(0xBF58476D1CE4E5B9)).view(np.int64)
+                    key = mix(combine_rows(s) + np.arange(bands, dtype=U64) * U64(0xBF58476D1CE4E5B9)).view(np.int64)
                     one = mix(h + n.astype(U64) * U64(0xD6E8FEB86659FD93))
                     whole = np.zeros(j - i, U64)
                     np.add.at(whole, row, one)  # the shingles are distinct: their sum is the same in any order
@@ -163,7 +191,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 has = np.zeros(j - i, bool)
                 has[row] = True
                 at = np.flatnonzero(has)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * BANDS, pa.int32()), pa.array(key[at].ravel()))
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * bands, pa.int32()), pa.array(key[at].ravel()))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i).take(pa.array(at)), pa.array(whole[at]), keys], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, print long, keys array<long>")
@@ -212,9 +240,14 @@ def weighted(column: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def links(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+def only(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of these doc_ids (a written table). At most FEW ids are broadcast, so that no
+    other row is moved; more are joined."""
+    return df.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_semi")
+
+
+def links(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs whose whole texts are similar enough."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -229,21 +262,35 @@ def links(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
-def blocks(labelled: DataFrame) -> DataFrame:
-    """key, i, j, block, doc_id, root, keys: the texts of each bucket with more than one
-    class, under every pair of blocks (i <= j) that their own block is part of."""
-    rows = labelled.select(F.explode("keys").alias("key"), "doc_id", "root", "keys")
-    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rows = rows.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).alias("many")), "key")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("many"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
-    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "root", "keys")
+def mixed(labelled: DataFrame, least: int) -> DataFrame:
+    """key, n, doc_id, root: the texts of each bucket of `least` or more texts in more than one class."""
+    rows = labelled.select(F.explode("keys").alias("key"), "doc_id", "root")
+    some = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(f"low < high and n >= {least}")
+    return rows.join(some.select("key", "n"), "key").select("key", "n", "doc_id", "root")
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """key, i, j, block, doc_id, root: the texts of mixed buckets, under every pair of blocks
+    (i <= j) that their own block is part of and that may hold new links. The blocks of the
+    bucket's largest class come last and are paired with the others only."""
+    size = rows.groupBy("key", "root").agg(F.count("*").alias("size"))
+    size = size.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.max("size").alias("most"), F.sum("size").alias("n"))
+    few = F.col("n") <= BLOCK
+    size = size.select("key", "main", F.when(few, 1).otherwise(F.ceil((F.col("n") - F.col("most")) / BLOCK)).cast("long").alias("many"), F.when(few, 0).otherwise(F.ceil(F.col("most") / BLOCK)).cast("long").alias("last"))
+    rows = rows.drop("n").join(size, "key")
+    inside = (F.col("root") == F.col("main")) & (F.col("last") > 0)
+    place = F.xxhash64("doc_id")
+    rows = rows.withColumn("block", F.when(inside, F.col("many") + F.pmod(place, F.greatest("last", F.lit(1)))).otherwise(F.pmod(place, F.col("many"))))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, F.col("many") - 1).otherwise(F.col("many") + F.col("last") - 1))))
+    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "root")
 
 
-def links_within(blocked: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+def links_within(blocked: DataFrame, signed: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """a, b: pairs of classes that hold texts of a bucket that are similar enough. A pair of
     texts is left out only if a link of its group has joined their classes already, or if
-    an earlier band has it too, whose bucket tests it."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    an earlier band has it too, whose bucket tests it. signed: doc_id, and keys of all bands
+    that these buckets are of (other keys that a pair shares are tested elsewhere)."""
+    texts = texts.join(signed.select("doc_id", "keys"), "doc_id")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(t: pa.Table) -> pa.Table:
@@ -294,13 +341,24 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ship(spark)
     docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(inverse(frequencies(docs)))  # BUCKETS numbers
-    signed = written(signatures(docs, idf), "signatures")
+    signed = written(signatures(docs, idf, BANDS, ROWS), "signatures")
     firsts = signed.filter("doc_id is not null").groupBy("print").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("doc_id"))
     firsts = written(firsts.select("print", "doc_id", "keys"), "firsts")
-    found = written(links(candidates(firsts.select("doc_id", "keys")), docs, idf, threshold), "links")
+    pairs = written(candidates(firsts.select("doc_id", "keys")), "pairs")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")  # every text that shares a bucket
+    texts = written(only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids), "texts")  # later joins move no others
+    found = written(links(pairs, texts, idf, threshold), "links")
     roots = components(found).withColumnRenamed("node", "doc_id")
     labelled = written(firsts.join(roots, "doc_id", "left").select("print", "doc_id", F.coalesce("root", "doc_id").alias("root"), "keys"), "labelled")
-    joined = components(written(links_within(blocks(labelled), docs, idf, threshold), "links"))
+    rows = written(mixed(only(labelled, ids), 3), "mixed")  # the first pass has tested the pair of a bucket of two
+    texts = written(only(texts, written(rows.select("doc_id").distinct(), "ids")), "texts")
+    few = blocks(rows.filter(F.col("n") <= BLOCK))
+    near = links_within(few, labelled, texts, idf, threshold)
+    crowd = texts.join(rows.filter(F.col("n") > BLOCK).select("doc_id").distinct(), "doc_id", "left_semi")
+    again = written(signatures(crowd, idf, LONG_BANDS, LONG_ROWS).select("doc_id", "keys").dropDuplicates(["doc_id"]), "long-signatures")
+    long_ = blocks(mixed(again.join(labelled.select("doc_id", "root"), "doc_id"), 2))
+    near = near.unionByName(links_within(long_, again, texts, idf, threshold))
+    joined = components(written(near, "links"))
     joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))
     heads = labelled.select("print", "root").join(joined, "root", "left").select("print", F.coalesce("least", "root").alias("class_id"))
     of = signed.select("doc_id", "print").join(heads, "print").select("doc_id", "class_id").filter("doc_id is not null")

@@ -204,15 +204,12 @@ def test_near_dedup_equals_brute_force(docs, rows):
     assert got == {i: find(i) for i in keys} and len(set(got.values())) < len(got)
 
 
-def test_samples_agree_as_often_as_the_weighted_similarity(monkeypatch):
+def test_samples_agree_as_often_as_the_weighted_similarity():
     r = np.random.default_rng(3)
-    monkeypatch.setattr(near_dedup, "BANDS", 300)
-    near_dedup.seeds.cache_clear()
     h = r.integers(1, 1 << 62, 300).astype(np.uint64)
     wa, wb = r.uniform(0.5, 3, 200), r.uniform(0.5, 3, 200)
     a, b = (h[:200], wa), (h[100:], wb)
-    s = near_dedup.samples(np.repeat([0, 1], 200), np.concatenate([a[0], b[0]]), np.concatenate([wa, wb]), 2)
-    near_dedup.seeds.cache_clear()
+    s = near_dedup.samples(np.repeat([0, 1], 200), np.concatenate([a[0], b[0]]), np.concatenate([wa, wb]), 2, 600)
     x, y = ((v[0][np.argsort(v[0])], v[1][np.argsort(v[0])]) for v in (a, b))
     assert abs((s[0] == s[1]).mean() - near_dedup.similarity(x, y)) < 0.06
 

@@ -155,7 +155,7 @@ def external_id_consistency(spark, sf_dir):  # F9
     SELECT s_suppkey AS record, p.path, p.value FROM supplier JOIN nation ON s_nationkey = n_nationkey, unnest([
         {'path': 'name', 'value': s_name}, {'path': 'place_nation', 'value': n_name}, {'path': 'place_region', 'value': CAST(n_regionkey AS VARCHAR)},
         {'path': 'ids_0', 'value': CAST(s_suppkey AS VARCHAR)}, {'path': 'ids_1', 'value': CAST(s_nationkey AS VARCHAR)}]) AS t(p)""")
-def flatten_json(spark, sf_dir):  # P2 P3
+def flatten_json(spark, sf_dir):  # P2
     d = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 rows
     d = d.select("s_suppkey", F.col("s_name").alias("name"), F.struct(F.col("n_name").alias("nation"), F.col("n_regionkey").alias("region")).alias("place"), F.array(F.col("s_suppkey"), F.col("s_nationkey").cast("long")).alias("ids"))
     return reshape.leaves(d, "s_suppkey")
@@ -164,7 +164,7 @@ def flatten_json(spark, sf_dir):  # P2 P3
 @query("""
     WITH e AS (SELECT c_custkey AS record, unnest([{'f': 'key', 'v': CAST(c_custkey % 10 AS VARCHAR)}, {'f': 'nation', 'v': CAST(c_nationkey AS VARCHAR)}, {'f': 'segment', 'v': c_mktsegment}, {'f': 'size', 'v': CAST(length(c_name) AS VARCHAR)}, {'f': 'tens', 'v': CAST(c_custkey // 10 % 10 AS VARCHAR)}]) AS p FROM customer)
     SELECT a.record, a.p.v AS value, a.p.f AS field1, b.p.f AS field2 FROM e a JOIN e b ON a.record = b.record AND a.p.v = b.p.v AND a.p.f < b.p.f""")
-def duplicate_values(spark, sf_dir):  # A5 A6
+def duplicate_values(spark, sf_dir):  # A5
     k = F.col("c_custkey")
     eav = fields.unpivoted(read(spark, sf_dir, "customer"), "c_custkey", {"key": k % 10, "nation": F.col("c_nationkey"), "segment": F.col("c_mktsegment"), "size": F.length("c_name"), "tens": F.floor(k / 10) % 10})
     return duplicates.repeated_values(eav, "record", "field", "value")
@@ -174,7 +174,7 @@ def duplicate_values(spark, sf_dir):  # A5 A6
     SELECT n_nationkey AS record, string_agg(line, '; ' ORDER BY k) AS grouped FROM (
         SELECT n_nationkey, s_suppkey % 3 AS k, CAST(s_suppkey % 3 AS VARCHAR) || ': ' || string_agg(s_name, ', ' ORDER BY s_suppkey) AS line
         FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey, s_suppkey % 3) GROUP BY n_nationkey""")
-def wide_csv(spark, sf_dir):  # P7 P8
+def wide_csv(spark, sf_dir):  # P7: the grouping alone
     s = read(spark, sf_dir, "supplier").select("s_nationkey", F.struct((F.col("s_suppkey") % 3).alias("k"), F.col("s_suppkey").alias("o"), (F.col("s_suppkey") % 3).cast("string").alias("key"), F.col("s_name").alias("value")).alias("e"))
     g = s.join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_nationkey").alias("record")).agg(F.sort_array(F.collect_list("e")).alias("e"))
     return g.select("record", reshape.grouped_text(F.col("e")).alias("grouped"))
@@ -234,7 +234,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'add=' || p_brand || '|replace=' || p_type WHEN 1 THEN 'replace=' || p_brand || '|replace=' || p_type WHEN 2 THEN 'add=' || p_brand || '|delete=' || p_type WHEN 3 THEN 'delete=' ELSE 'replace=' || p_name || '|add=' || p_brand END AS parsed FROM part""")
-def parse_update_g1(spark, sf_dir):  # G1 G4
+def parse_update_g1(spark, sf_dir):  # G1
     return cells(spark, sf_dir).select("p_partkey", grammar.spelt(grammar.parse_bare_replace(F.col("cell"))).alias("parsed"))
 
 
@@ -330,7 +330,7 @@ def remove_inactive_edges(spark, sf_dir):  # J16
 
 @query("""
     SELECT n_nationkey AS record, n_regionkey AS related, CASE WHEN r_regionkey % 2 = 0 THEN r_name || ' II' ELSE n_name END AS label, r_regionkey % 2 = 0 AS changed FROM nation JOIN region ON n_regionkey = r_regionkey""")
-def label_propagation(spark, sf_dir):  # J15 J17
+def label_propagation(spark, sf_dir):  # J15
     e = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("record"), F.col("n_regionkey").alias("related"), F.col("n_name").alias("label"))
     names = read(spark, sf_dir, "region").filter("r_regionkey % 2 = 0").select(F.col("r_regionkey").alias("record"), F.concat("r_name", F.lit(" II")).alias("name"))
     return relations.relabelled(e, names).select("record", "related", "label", "changed")
@@ -416,7 +416,7 @@ def language_outliers(spark, sf_dir):  # A3 A4
 
 @query("""
     SELECT c_custkey, count(o_orderkey) AS n, CASE WHEN count(o_orderkey) >= 20 THEN 'P1' WHEN count(o_orderkey) >= 1 OR c_custkey % 10 = 0 THEN 'P2' ELSE 'P3' END AS priority FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
-def priority(spark, sf_dir):  # A9 A10
+def priority(spark, sf_dir):  # A10
     n = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("o_orderkey").alias("n"))
     d = read(spark, sf_dir, "customer").select("c_custkey").join(n, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return d.withColumn("priority", languages.priority(F.col("n"), 20, 1, F.col("c_custkey") % 10 == 0))
@@ -439,8 +439,7 @@ def mine_external_ids(spark, sf_dir):  # X16 X17 X20
 
 @query("SELECT doc_id, CAST(len(string_split(lower(text), 'license')) - 1 AS INT) AS n FROM documents WHERE contains(lower(text), 'license')")
 def find_text(spark, sf_dir):  # F21
-    d = read(spark, sf_dir, "documents").filter(F.contains(F.lower("text"), F.lit("license")))
-    return d.select("doc_id", (F.size(F.split(F.lower("text"), "license")) - 1).alias("n"))
+    return fields.with_text(read(spark, sf_dir, "documents"), "text", "license").select("doc_id", "n")
 
 
 @query(r"""SELECT page_id, trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), ' ' || chr(10) || chr(9) || chr(13)) AS title FROM pages""")
@@ -468,8 +467,8 @@ def release_filter(spark, sf_dir):  # J1 J18 J24 J25
     return integrity.found(o, ids, "o_orderkey").withColumn("state", F.lit("released")).unionByName(integrity.not_found(o, ids, "o_orderkey").withColumn("state", F.lit("held")))
 
 
-@query(None)
-def sample_stable(spark, sf_dir):  # T6 T7: the limit is the operator
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('0:' || o_orderkey), o_orderkey LIMIT 500")
+def sample_stable(spark, sf_dir):  # T7: the limit is the operator
     return history.stable_sample(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 500)
 
 
@@ -479,10 +478,11 @@ def release_counts(spark, sf_dir):  # A11 K9
     return n.unionByName(n.agg(F.lit("total").alias("o_orderstatus"), F.sum("n").alias("n")))
 
 
-@query(r"""SELECT p_partkey, regexp_replace('(' || p_name || ') "a+b"', '([+\-=!(){}\[\]^"~*?:\\/&|])', '\\\1', 'g') AS escaped, trim(regexp_replace(p_name || ' (x) ''y''', '\([^)]*\)|''', '', 'g')) AS plain FROM part""")
-def search_text(spark, sf_dir):  # X18 X19
+@query(r"""SELECT p_partkey, regexp_replace('(' || p_name || ') "a+b"', '([+\-=!(){}\[\]^"~*?:\\/&|])', '\\\1', 'g') AS escaped,
+        trim(regexp_replace(regexp_replace(regexp_replace(p_name || ' & B: (x) ''y'' C/D <' || p_brand || '>', '\s*\([^)]*\)', '', 'g'), '[*|"'',:;/\\&!?#@\[\]{}()<>]', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM part""")
+def search_text(spark, sf_dir):  # S12 X18 X19
     p = read(spark, sf_dir, "part")
-    return p.select("p_partkey", text.escape_query(F.concat(F.lit("("), F.col("p_name"), F.lit(') "a+b"'))).alias("escaped"), F.replace(text.search_name(F.concat("p_name", F.lit(" (x) 'y'"))), F.lit(" y"), F.lit("  y")).alias("plain"))
+    return p.select("p_partkey", text.escape_query(F.concat(F.lit("("), F.col("p_name"), F.lit(') "a+b"'))).alias("escaped"), text.search_name(F.concat("p_name", F.lit(" & B: (x) 'y' C/D <"), "p_brand", F.lit(">"))).alias("plain"))
 
 
 @query("""
@@ -519,11 +519,12 @@ def release_verdicts(spark, sf_dir):  # J19 O7
 
 
 @query(r"""
-    SELECT c_custkey, c_name AS name, '' AS city, c_mktsegment || ' | ' || c_nationkey AS notes, 'Name: ' || c_name || chr(10) || chr(10) || '# Notes' || chr(10) || c_mktsegment || ' | ' || c_nationkey || chr(10) || '# End' AS cleaned FROM customer""")
+    SELECT c_custkey, c_name AS name, '' AS city, c_mktsegment || ' | ' || c_nationkey AS notes, 'Name of organization: ' || c_name || chr(10) || chr(10) || '# Notes' || chr(10) || c_mktsegment || ' | ' || c_nationkey || chr(10) || '# End' || CASE WHEN c_custkey % 2 = 0 THEN chr(10) || 'Update record:' || chr(10) || chr(10) || 'x' ELSE '' END AS cleaned FROM customer""")
 def issue_fields(spark, sf_dir):  # X21 X22 X23
-    body = F.concat(F.lit("Name:  "), "c_name", F.lit("\nCity: \n\n# Notes\n"), "c_mktsegment", F.lit(" | "), F.col("c_nationkey").cast("string"), F.lit("\n# End\n"))
+    added = F.when(F.col("c_custkey") % 2 == 0, "\nUpdate record:\n\nx").otherwise("\nUpdate record:\n\n\nAdd record:\ny\nz")
+    body = F.concat(F.lit("Name of organization: "), "c_name", F.lit("\nCity: \n\n\n# Notes\n"), "c_mktsegment", F.lit(" | "), F.col("c_nationkey").cast("string"), F.lit("\n# End"), added, F.lit("\n"))
     c = read(spark, sf_dir, "customer").select("c_custkey", body.alias("b"))
-    return c.select("c_custkey", issues.field(F.col("b"), "Name").alias("name"), issues.field(F.col("b"), "City").alias("city"), issues.section(F.col("b"), "Notes").alias("notes"), F.replace(issues.cleaned(F.col("b")), F.lit("Name:  "), F.lit("Name: ")).alias("cleaned"))
+    return c.select("c_custkey", issues.field(F.col("b"), "Name of organization").alias("name"), issues.field(F.col("b"), "City").alias("city"), issues.section(F.col("b"), "Notes").alias("notes"), issues.cleaned(F.col("b")).alias("cleaned"))
 
 
 @query(r"""SELECT p_partkey, regexp_replace(trim(p_name), '\s+', ' ', 'g') AS name FROM part""")

@@ -107,9 +107,23 @@ def escape_query(x: Column) -> Column:
     return F.regexp_replace(x, r"([+\-=!(){}\[\]^\"~*?:\\/&|])", r"\\$1")
 
 
+#: Characters that a search takes as its own signs.
+SEARCH_SIGNS = r"[*|\"',:;/\\&!?#@\[\]{}()<>]"
+
+
 def search_name(x: Column) -> Column:
-    """A name fit for a search: no brackets' content, no quotes, single spaces."""
-    return normalize_whitespace(F.regexp_replace(F.regexp_replace(x, r"\([^)]*\)", " "), r"[\"'`]", ""))
+    """A name fit for a search: nothing in brackets, no signs of the search, single spaces."""
+    return normalize_whitespace(F.regexp_replace(F.regexp_replace(x, rf"{SPACE}*\([^)]*\)", ""), SEARCH_SIGNS, " "))
+
+
+def quote_tail(x: Column, start: int = 30) -> Column:
+    """An address that is not encoded yet, encoded from its `start`th character on."""
+    return F.when(unquote(x).eqNullSafe(x), F.concat(F.left(x, F.lit(start)), quote(F.substring(x, F.lit(start + 1), F.greatest(F.length(x), F.lit(1)))))).otherwise(x)
+
+
+def funder_link(x: Column, base: str = "https://doi.org/10.13039/") -> Column:
+    """The address of a funder id, which may be given as such an address or with its prefix."""
+    return F.concat(F.lit(base), F.regexp_extract(strip(x), r"([0-9]+)$", 1))
 
 
 #: Shapes of external identifiers in free text.

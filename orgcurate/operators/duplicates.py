@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import similarity
+from ..functions import similarity, text, vectorised
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -65,8 +65,9 @@ def similar_names(left: DataFrame, right: DataFrame | None, name: str, threshold
     slack = 1 - (threshold - 0.5) / 100
 
     def prefixes(d: DataFrame, col: str) -> DataFrame:
-        # the partner is at most (1 + slack) / (1 - slack) as long
-        most = F.floor(slack * F.length(col) * (1 + (1 + slack) / (1 - slack))).cast("int") * q + 1
+        # A letter of this name without a partner spoils q grams, one of the other q - 1. Most are
+        # spoilt where this is the longer name and all its surplus has no partner.
+        most = F.floor(q * slack * 2 / (1 + slack) * F.length(col) + 1e-9).cast("int") + 1
         rows = d.select(col, *(["block"] if blocked else []), most.alias("most"), F.explode("grams").alias("g")).join(counts, "g")
         w = Window.partitionBy(col, *(["block"] if blocked else [])).orderBy("many", "g")
         return rows.withColumn("rank", F.row_number().over(w)).filter("rank <= most").select(col, *(["block"] if blocked else []), "g")
@@ -75,18 +76,111 @@ def similar_names(left: DataFrame, right: DataFrame | None, name: str, threshold
     pairs = prefixes(a, "name_a").join(prefixes(b, "name_b"), on).select("name_a", "name_b", *(["block"] if blocked else [])).distinct()
     pairs = pairs.filter(F.col("name_a") < F.col("name_b")) if right is None else pairs
     pairs = pairs.filter(similarity.may_reach(F.col("name_a"), F.col("name_b"), threshold))
-    scored = pairs.withColumn("score", similarity.ratio(F.col("name_a"), F.col("name_b")))
+    scored = pairs.withColumn("score", vectorised.name_ratio(F.col("name_a"), F.col("name_b")))
     return scored.filter(F.col("score") >= threshold)
 
 
-def first_per_unordered_pair(df: DataFrame, a: str, b: str, *order: str) -> DataFrame:
-    """Of the rows with the same unordered pair, the first."""
-    w = Window.partitionBy(F.least(a, b), F.greatest(a, b)).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+def in_release(records: DataFrame, threshold: int = 85, countries: bool = False) -> DataFrame:
+    """First, second, match_type, name1, name2, score of records of one release that
+    share a host or have similar names.
+
+    records: position, host, names (array as given, perhaps with language tags), country if
+    `countries`, which leaves out pairs whose countries are known and differ. Of the records
+    with the same two names the first pair is reported, so that equal names give one row, not
+    the square of their number; of a host each later record with the first one.
+    """
+    country = F.col("country") if countries else F.lit(None).cast("string")
+    n = records.select("position", country.alias("country"), F.explode("names").alias("raw"))
+    n = n.withColumn("name", text.normalize_text(text.clean_name(F.col("raw")))).filter((text.clean_name(F.col("raw")) != "") & F.col("name").isNotNull()).distinct()
+    first = n.groupBy("raw", "name", "country").agg(F.min("position").alias("first"))
+    later = n.join(first, (n["raw"] == first["raw"]) & n["country"].eqNullSafe(first["country"]) & (n["position"] > first["first"]), "left_semi")
+    second = later.groupBy("raw", F.col("country").alias("c")).agg(F.min("position").alias("second")).withColumnRenamed("raw", "r")
+    named = first.join(second, (first["raw"] == second["r"]) & first["country"].eqNullSafe(second["c"]), "left").drop("r", "c")
+    near = similar_names(named, None, "name", threshold).select("name_a", "name_b", "score")
+    near = near.unionByName(named.select(F.col("name").alias("name_a"), F.col("name").alias("name_b"), F.lit(100).alias("score")).distinct())
+    side = lambda k: named.select(*(F.col(c).alias(f"{c}{k}") for c in ("raw", "country", "first", "second")), F.col("name").alias(f"name_{'ab'[k - 1]}"))
+    d = near.join(side(1), "name_a").join(side(2), "name_b")
+    d = d.filter((F.col("name_a") != F.col("name_b")) | (F.col("raw1") <= F.col("raw2")))
+    if countries:
+        d = d.filter((F.col("country1") == F.col("country2")) | F.col("country1").isNull() | F.col("country2").isNull())
+    low, apart = F.least("first1", "first2"), F.col("first1") != F.col("first2")
+    d = d.select("score", F.least("raw1", "raw2").alias("name1"), F.greatest("raw1", "raw2").alias("name2"), F.struct(low.alias("first"), F.when(apart, F.greatest("first1", "first2")).otherwise(F.least("second1", "second2")).alias("second")).alias("at"))
+    d = d.filter("at.second is not null").groupBy("name1", "name2").agg(F.min("at").alias("at"), F.first("score").alias("score"))
+    kind = F.when(F.col("score") == 100, "name_exact").otherwise("name_fuzzy")
+    names = d.select("at.first", "at.second", kind.alias("match_type"), "name1", "name2", "score")
+    none = F.lit(None).cast("string")
+    hosts = within(records.select("host", "position"), "host", "position").select("first", "second", F.lit("url").alias("match_type"), none.alias("name1"), none.alias("name2"), F.lit(100).alias("score"))
+    return names.unionByName(hosts)
+
+
+def in_production(submitted: DataFrame, registry: DataFrame, threshold: int = 85) -> DataFrame:
+    """Record, input_name, matched, matched_name, score: submitted names and the records
+    of the same country with a similar name, each by its best name, the first of equals.
+
+    submitted and registry: record, country, name (as given). No country, no match."""
+    def sided(df: DataFrame) -> DataFrame:
+        d = df.filter("country is not null").select("record", F.col("country").alias("block"), F.col("name").alias("raw"), text.normalize_text(text.clean_name(F.col("name"))).alias("name"))
+        return d.filter(text.clean_name(F.col("raw")) != "").distinct()
+
+    a, b = sided(submitted), sided(registry)
+    near = similar_names(a, b, "name", threshold)
+    d = near.join(a.withColumnRenamed("name", "name_a").withColumnRenamed("raw", "input_name"), ["name_a", "block"])
+    d = d.join(b.select(F.col("record").alias("matched"), "block", F.col("raw").alias("matched_name"), F.col("name").alias("name_b")), ["name_b", "block"])
+    best = F.min_by(F.struct("matched_name", "score"), F.struct(-F.col("score"), F.col("matched_name"))).alias("best")
+    return d.groupBy("record", "input_name", "matched").agg(best).select("record", "input_name", "matched", "best.matched_name", "best.score")
+
+
+def both_orders(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Every pair in either order, as the first schema's reports give them."""
+    rest = [c for c in pairs.columns if c not in (a, b)]
+    return pairs.select(a, b, *rest).unionByName(pairs.select(F.col(b).alias(a), F.col(a).alias(b), *rest))
 
 
-def repeated_values(eav: DataFrame, record: str, field: str, value: str) -> DataFrame:
-    """A5: (record, value, field1, field2) of every two fields of a record with one value.
-    The rows are a record's own fields, whose number does not grow with the table."""
+def first_per_unordered_pair(df: DataFrame, a: str, b: str, *order: str) -> DataFrame:
+    """Of the rows with the same unordered pair, the first."""
+    fields = F.struct(*(F.col(c) for c in df.columns))
+    return df.groupBy(F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).agg(F.min_by(fields, F.struct(*order)).alias("_row")).select("_row.*")
+
+
+# Values that many fields share.
+COMMON_VALUES = ["related", "parent", "child", "predecessor", "successor"]
+
+
+def ignored(value: Column, a: Column, b: Column, fmt: str = "json") -> Column:
+    """A5: whether a value that two fields share says nothing. Fields are paths in JSON and
+    column names in CSV."""
+    two = lambda part: F.contains(a, F.lit(part)) & F.contains(b, F.lit(part))
+    either = lambda x, y: F.contains(a, F.lit(x)) & F.contains(b, F.lit(y)) | F.contains(b, F.lit(x)) & F.contains(a, F.lit(y))
+    shape = r"external_ids_(\d+)" if fmt == "json" else r"external_ids\.type\.(\w+)\."
+    same = (F.regexp_extract(a, shape, 1) != "") & (F.regexp_extract(a, shape, 1) == F.regexp_extract(b, shape, 1))
+    out = F.coalesce(value, F.lit("")).isin("", "null") | same & either("preferred", "all")
+    if fmt == "csv":
+        display, label = "names.types.ror_display", "names.types.label"
+        return out | (a == display) & (b == label) | (a == label) & (b == display)
+    types = two("types_") & (two("names_") | two("relationships_"))
+    kinds = a.rlike(r"relationships_\d+_type$") & b.rlike(r"relationships_\d+_type$")
+    return out | two("admin") | a.endswith("_lang") & b.endswith("_lang") | types | kinds | value.isin(COMMON_VALUES)
+
+
+def first_repeated(eav: DataFrame) -> DataFrame:
+    """(record, field, value, first_field): later fields of a record with the value of an
+    earlier one, and that one, under the older check's rules. eav: record, position, path, value."""
+    d = eav.filter("value <> ''")
+    w = Window.partitionBy("record", "value").orderBy("position")  # a record's own fields
+    d = d.withColumn("first_field", F.first("path").over(w)).withColumn("rank", F.row_number().over(w)).filter("rank > 1")
+    a, b = F.col("path"), F.col("first_field")
+    two = lambda part: F.contains(a, F.lit(part)) & F.contains(b, F.lit(part))
+    either = F.contains(a, F.lit("preferred")) & F.contains(b, F.lit("all")) | F.contains(b, F.lit("preferred")) & F.contains(a, F.lit("all"))
+    place = lambda c: F.regexp_extract(c, r"external_ids_(\d+)", 1)
+    ids = (place(a) != "") & (place(a) == place(b)) & either
+    skip = a.startswith("admin_") | b.startswith("admin_") | ids | a.endswith("_lang") & b.endswith("_lang") | two("relationships_") & two("_type") | two("names_") & two("types_")
+    return d.filter(~skip).select("record", F.col("path").alias("field"), "value", "first_field")
+
+
+def repeated_values(eav: DataFrame, record: str, field: str, value: str, fmt: str | None = None) -> DataFrame:
+    """A5: (record, value, field1, field2) of every two fields of a record with one value; with
+    a format, without those that its rules ignore. The rows are a record's own fields, whose
+    number does not grow with the table."""
     a = eav.filter(F.col(value).isNotNull() & (F.col(value) != "")).select(record, value, F.col(field).alias("field1"))
-    return a.join(a.withColumnRenamed("field1", "field2"), [record, value]).filter(F.col("field1") < F.col("field2"))
+    d = a.join(a.withColumnRenamed("field1", "field2"), [record, value]).filter(F.col("field1") < F.col("field2"))
+    return d if fmt is None else d.filter(~ignored(F.col(value), F.col("field1"), F.col("field2"), fmt))

@@ -21,8 +21,16 @@ SHAPES = {
     "fundref": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
     "geonames": r"^(?:[1-9]\d*(?:\*preferred)?|delete)$",
     "domain": r"^((?=[a-z0-9-]{1,63}\.)[a-z0-9]+(-[a-z0-9]+)*\.)+[a-z]{2,63}$",
-    "id": r"^https://[a-z]+\.org/0[a-z0-9]{6}[0-9]{2}$",
 }
+#: Fixed value: what follows the registry's address in a record id.
+ID_TAIL = r"0[a-z0-9]{6}[0-9]{2}"
+#: The first schema's external ids, change types, and which fields each change type fits.
+V1_IDS = {"ISNI": r"^[0]{4} [0-9]{4} [0-9]{4} [0-9]{3}[0-9X]", "Wikidata": r"^Q[1-9]\d*", "FundRef": r"^[1-9]\d+"}
+V1_CHANGES = ["change", "add", "delete", "replace"]
+V1_FIELDS = ["name", "status", "established", "wikipedia_url", "links", "types", "aliases", "acronyms", "Wikidata", "ISNI", "FundRef", "GRID", "labels", "relationships", "Geonames"]
+V1_REPLACE = ["links", "types", "aliases", "acronyms", "labels", "ISNI", "FundRef", "Wikidata"]
+V1_CHANGE = ["name", "status", "established", "wikipedia_url", "Geonames"]
+V1_NOT_LISTS = ["name", "status"]
 
 
 def status_error(x: Column) -> Column:
@@ -48,6 +56,53 @@ def shape_error(x: Column, kind: str) -> Column:
     return F.when(~x.rlike(SHAPES[kind]), F.lit(f"{kind} has the wrong shape"))
 
 
+def id_error(x: Column, base: str) -> Column:
+    """why a record id below the address `base` is none; empty ids pass."""
+    v = text.strip(x)
+    ok = (F.coalesce(v, F.lit("")) == "") | v.rlike(rf"^\Q{base}\E{ID_TAIL}$")
+    return F.when(ok, F.lit(None)).when(F.contains(v, F.lit(" ")), "id contains white space").when(~v.startswith(base), "id has another address").otherwise("id has the wrong shape")
+
+
+def name_format_error(x: Column) -> Column:
+    """a name with a tag mark must have one only, followed by a known code of two letters;
+    a name without one passes."""
+    v = text.strip(x)
+    n = F.length(v) - F.length(F.replace(v, F.lit("*"), F.lit("")))
+    lang = F.substring_index(v, "*", -1)
+    return F.when(n > 1, "several tag marks").when(v.endswith("*"), "empty language tag").when((n == 1) & ~lang.rlike(r"^\p{L}{2}$"), "language code is not two letters").when((n == 1) & ~F.lower(lang).isin(LANGUAGES), "unknown language code")
+
+
+def v1_update_errors(x: Column) -> Column:
+    """kinds of errors in `change.field==value; ...` of the first schema, part by part in order."""
+
+    def of(part: Column) -> Column:
+        kind, rest = text.strip(F.substring_index(part, ".", 1)), F.regexp_extract(part, r"(?s)^[^.]*\.(.*)$", 1)
+        name = text.strip(F.substring_index(rest, "==", 1))
+        found = F.array(
+            F.when(~kind.isin(V1_CHANGES), F.lit("invalid change type")), F.when(~name.isin(V1_FIELDS), F.lit("invalid field name")),
+            F.when(kind.isin("add", "delete") & name.isin(V1_NOT_LISTS), F.lit("incompatible change type")),
+            F.when((kind == "replace") & ~name.isin(V1_REPLACE), F.lit("incompatible change type")), F.when((kind == "change") & ~name.isin(V1_CHANGE), F.lit("incompatible change type")),
+        )
+        return F.when(F.contains(part, F.lit(".")) & F.contains(rest, F.lit("==")), F.filter(found, lambda e: e.isNotNull())).otherwise(F.array(F.lit("invalid format")))
+
+    return F.flatten(F.transform(F.filter(F.split(x, ";"), lambda p: p != ""), of))
+
+
+def v1_id_errors(df: DataFrame) -> DataFrame:
+    """(id, name, field, value) of external ids of the wrong shape. df: id, name,
+    external_ids (map of type to struct(preferred string, all array))."""
+    entry = df.select("id", "name", F.explode("external_ids").alias("field", "e"))
+    d = entry.select("id", "name", "field", F.explode(F.concat(F.array("e.preferred"), F.coalesce("e.all", F.array().cast("array<string>")))).alias("value")).filter("value <> ''")
+    wrong = reduce(lambda acc, kv: acc | (F.col("field") == kv[0]) & ~F.col("value").rlike(kv[1]), V1_IDS.items(), F.lit(False))
+    return d.filter(wrong)
+
+
+def with_text(df: DataFrame, column: str, phrase: str) -> DataFrame:
+    """the rows whose text has the phrase in any case, with `n`, how often."""
+    low = F.lower(column)
+    return df.filter(F.contains(low, F.lit(phrase.lower()))).withColumn("n", F.size(F.split(low, rf"\Q{phrase.lower()}\E")) - 1)
+
+
 def year_error(x: Column) -> Column:
     """not a number, or a number that is no year of four digits."""
     n = text.strip(x).try_cast("int")

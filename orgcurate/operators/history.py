@@ -64,6 +64,19 @@ def first_seen(df: DataFrame, value: str, order: str) -> DataFrame:
     return df.groupBy(value).agg(F.min(order).alias("first_seen"))
 
 
-def stable_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """N rows in the order of a seeded hash: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+def stable_sample(df: DataFrame, key: str, n: int, seed: int = 0, but: DataFrame | None = None) -> DataFrame:
+    """N rows in the order of a seeded digest of the key, the same rows on every run; of
+    those only that are not among `but`, which has the key."""
+    rest = df if but is None else df.join(but.select(key).distinct(), key, "left_anti")
+    return rest.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), key).limit(n)
+
+
+def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """Draw and the n rows drawn, some of them more than once: draw k takes the row whose
+    rank in the key's order is the first 8 hex digits of a digest of seed and k, modulo the rows."""
+    ranked = chunked(df, [key], 1).withColumnRenamed("chunk", "_rank")
+    many = df.count()  # a job
+    draws = df.sparkSession.range(n if many else 0).withColumnRenamed("id", "draw")
+    hashed = F.conv(F.left(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("draw").cast("string")).cast("binary")), F.lit(8)), 16, 10).cast("long")
+    draws = draws.select("draw", (hashed % max(1, many)).alias("_rank"))
+    return draws.join(ranked, "_rank").drop("_rank")

@@ -20,8 +20,12 @@ def new_record_gaps(requested: DataFrame, stored: DataFrame) -> DataFrame:
 def update_gaps(requested: DataFrame, stored: DataFrame) -> DataFrame:
     """Requested (record, field, op, value) that the records do not show: added or
     replacing values that are missing, deleted ones that are still there, and requests for
-    records that do not exist."""
-    flag = stored.select("record", "field", "value").distinct().withColumn("there", F.lit(True))
+    records that do not exist. A delete of the empty value is one of the whole field, and so is
+    a replacement by the word delete."""
+    clears = (F.col("op") == "replace") & (F.lower("value") == "delete")
+    requested = requested.withColumns({"op": F.when(clears, "delete").otherwise(F.col("op")), "value": F.when(clears, "").otherwise(F.col("value"))})
+    some = stored.select("record", "field", F.lit("").alias("value"))  # a field that has any value
+    flag = stored.select("record", "field", "value").unionByName(some).distinct().withColumn("there", F.lit(True))
     known = stored.select("record").distinct().withColumn("known", F.lit(True))
     d = requested.join(flag, ["record", "field", "value"], "left").join(known, "record", "left")
     status = F.when(F.col("known").isNull(), "no record").when(F.col("op").isin("add", "replace") & F.col("there").isNull(), "missing").when((F.col("op") == "delete") & F.col("there"), "still present")

@@ -39,6 +39,39 @@ def decided(scores_a: Column, scores_b: Column, common_list: Column, least: floa
     return F.try_element_at(F.sort_array(joint, asc=False), F.lit(1))["lang"]
 
 
+def relabelled_names(records: DataFrame, given: DataFrame) -> DataFrame:
+    """Names with the language that was given for their record and value, the last one
+    where there are several. records: id, names. given: id, name, lang, position."""
+    last = given.groupBy("id", "name").agg(F.max_by("lang", "position").alias("lang"))
+    of = last.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("name", "lang"))).alias("_langs"))  # a record's own names
+    new = F.transform("names", lambda n: n.withField("lang", F.coalesce(F.col("_langs")[n["value"]], n["lang"])))
+    return records.join(of, "id", "left").withColumn("names", new).drop("_langs")
+
+
+def usage(works: DataFrame, n: int = 10) -> DataFrame:
+    """Affiliation, works (the first n by id, joined by `; `), n_works, n_authors. works:
+    affiliation, work, author. Works are made distinct first, so no task gathers a whole group."""
+    one = works.filter("affiliation <> ''").select("affiliation", "work").distinct()
+    w = Window.partitionBy("affiliation").orderBy("work")
+    first = one.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).groupBy("affiliation").agg(F.array_join(F.array_sort(F.collect_list("work")), "; ").alias("works"))
+    counts = one.groupBy("affiliation").agg(F.count("*").alias("n_works"))
+    authors = works.filter("affiliation <> '' and author <> ''").select("affiliation", "author").distinct().groupBy("affiliation").agg(F.count("*").alias("n_authors"))
+    return first.join(counts, "affiliation").join(authors, "affiliation", "left").withColumn("n_authors", F.coalesce("n_authors", F.lit(0)))
+
+
+def longest_first(values: Column) -> Column:
+    """T5: distinct values by length, the longest first; of equal lengths in their own order."""
+    return F.transform(F.array_sort(F.transform(F.array_distinct(values), lambda v: F.struct((-F.length(v)).alias("k"), v.alias("v")))), lambda x: x["v"])
+
+
+def initials(name: Column) -> Column:
+    """Upper-case beginnings of one to three letters of all words, and the first letters of
+    those words that begin with a capital, each distinct."""
+    words = F.filter(F.split(name, r"\s+"), lambda w: w != "")
+    of = lambda k: F.array_join(F.transform(words, lambda w: F.upper(F.left(w, F.lit(k)))), "")
+    return F.array_distinct(F.array(*(of(k) for k in (1, 2, 3)), acronym(name)))
+
+
 def top(values: Column, n: int) -> Column:
     """The first n of sorted (score, value), best first."""
     return F.slice(F.sort_array(values, asc=False), 1, n)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 # The inverse of each relationship, and pairs that exclude each other.
 INVERSE = {"Parent": "Child", "Child": "Parent", "Related": "Related", "Successor": "Predecessor", "Predecessor": "Successor"}
 EXCLUSIVE = [("Parent", "Child"), ("Successor", "Predecessor")]
@@ -65,21 +67,20 @@ def without_missing(edges: DataFrame, records: DataFrame) -> DataFrame:
     return edges.join(known, "record", "left_semi").join(known.withColumnRenamed("record", "related"), "related", "left_semi").select(edges.columns)
 
 
-def parents(hierarchy: DataFrame, most: int = 32) -> DataFrame:
-    """Node and root by pointer doubling over (node, parent); log2(depth) joins.
+def parents(hierarchy: DataFrame) -> DataFrame:
+    """Node and root by pointer doubling over (node, parent); log2(depth) joins, each round
+    written, so that plans do not grow. This runs jobs.
 
-    Rounds go on after `most` levels until no root changes; nodes below a cycle have no root,
-    so they end when every chain without one has been followed, by the number of rows."""
-    d = hierarchy.select("node", F.coalesce("parent", "node").alias("root"))
-    done, rows = 0, None
-    while True:
+    Rounds go on until no root changes; nodes below a cycle have no root, so they end when
+    every chain without one has been followed, by the number of rows."""
+    d = written(hierarchy.select("node", F.coalesce("parent", "node").alias("root")), "parents")
+    for _ in range(d.count().bit_length() + 1):
         up = d.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = d.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("up") != F.col("root")).alias("moved"))
-        d, done = new.select("node", "root"), done + 1
-        if done >= max(1, most.bit_length()):
-            rows = hierarchy.count() if rows is None else rows
-            if done > rows.bit_length() or not new.filter("moved").limit(1).count():
-                return d
+        new = written(d.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
+        d = new.select("node", "root")
+        if new.filter("moved").isEmpty():
+            break
+    return d
 
 
 def sticky(df: DataFrame, partition: list[str], order: str, column: str) -> Column:

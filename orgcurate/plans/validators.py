@@ -32,6 +32,8 @@ class Context:
     registry: DataFrame | None = None
     places: DataFrame | None = None
     threshold: int = 85
+    #: What record ids begin with.
+    address: str = "https://reg.org/"
 
     def eav(self, fmt: str) -> DataFrame:
         """record, field, value of every filled value of the csv or json input."""
@@ -68,13 +70,19 @@ def register(name: str, formats: str, columns: str, needs: str = "") -> Callable
     return add
 
 
-def rule(f: Column, v: Column) -> Column:
-    """The check of each field, by the end of its name in either format."""
-    kinds = {"status": fields.status_error(v), "types": fields.type_error(v), "established": fields.year_error(v), "acronym": fields.acronym_error(v), "website": fields.shape_error(v, "url"), "wikipedia": fields.shape_error(v, "wikipedia"), "isni.all": fields.shape_error(v, "isni"), "wikidata.all": fields.shape_error(v, "wikidata"), "fundref.all": fields.shape_error(v, "fundref"), "geonames_id": fields.shape_error(v, "geonames"), "ror_display": fields.name_error(v), "alias": fields.name_error(v), "label": fields.name_error(v)}
-    out = F.lit(None).cast("string")
-    for end, error in kinds.items():
-        out = F.when(f.endswith(end), error).otherwise(out)
-    return F.when(f.startswith("domains"), fields.shape_error(v, "domain")).otherwise(out)
+NAMES = ("names.types.ror_display", "names.types.alias", "names.types.label")
+PLACE = "locations.geonames_id"
+
+
+def rules(v: Column) -> dict[str, Column]:
+    """The check of each field; of several the first error counts (F8)."""
+    shapes = {"links.type.website": "url", "links.type.wikipedia": "wikipedia", PLACE: "geonames", "domains": "domain"} | {f"external_ids.type.{k}.{p}": k for k in ("isni", "wikidata", "fundref") for p in ("all", "preferred")}
+    plain = {"status": fields.status_error(v), "types": fields.type_error(v), "established": fields.year_error(v), "names.types.acronym": fields.first_error(fields.acronym_error(v), fields.name_error(v))}
+    return plain | {c: fields.name_error(v) for c in NAMES} | {c: fields.shape_error(v, k) for c, k in shapes.items()} | {c: fields.empty_error(v, c) for c in ("city", "country")}
+
+
+#: Fields that are not checked in update rows, and those that are not in records.
+NOT_IN_UPDATES, NOT_IN_RECORDS = ("domains", "city", "country"), ("domains", "city", "country", "names.types.acronym", *NAMES)
 
 
 @register("input_file_structure", "csv", "row_number field value message")
@@ -84,20 +92,50 @@ def input_file_structure(ctx: Context, fmt: str) -> DataFrame:
         return ctx.csv.sparkSession.createDataFrame([(1, c, "", "missing column") for c in missing], "row_number int, field string, value string, message string")
     update = F.col("id") != ""
     value = lambda c: F.col(f"`{c}`")
-    wrong = lambda c: F.when(update & (value(c) != ""), grammar.action_errors(value(c), ACTIONS[c], c not in KEPT)).otherwise(F.array().cast("array<string>"))
-    cells = F.array(*(F.struct(F.lit(c).alias("field"), value(c).alias("value"), wrong(c).alias("actions")) for c in ACTIONS))
+    none = F.array().cast("array<string>")
+
+    def wrong(c: str) -> Column:
+        actions = F.when(update & (value(c) != ""), grammar.action_errors(value(c), ACTIONS[c], c not in KEPT)).otherwise(none)
+        if not c.startswith("names."):
+            return actions
+        parts = F.filter(grammar.parse_bare_replace(value(c)), lambda u: (u["op"] != "delete") & (u["value"] != ""))
+        return F.concat(actions, F.filter(F.transform(parts, lambda u: fields.name_format_error(u["value"])), lambda e: e.isNotNull()))
+
+    bad_id = fields.id_error(F.col("id"), ctx.address)
+    of_id = F.struct(F.lit("id").alias("field"), F.col("id").alias("value"), F.filter(F.array(bad_id), lambda e: e.isNotNull()).alias("wrong"))
+    cells = F.array(of_id, *(F.struct(F.lit(c).alias("field"), value(c).alias("value"), wrong(c).alias("wrong")) for c in ACTIONS))
     d = with_line_numbers(ctx.csv).select("row_number", update.alias("is_update"), F.explode(cells).alias("c")).select("row_number", "is_update", "c.*")
     found = F.filter(F.array(
         F.when(F.col("value").rlike(r"[\r\n]"), F.lit("embedded newline")),
         F.when(~F.col("is_update") & F.col("value").rlike(rf"(?i)(?:{grammar.OPS})=="), F.lit("update syntax in a new record")),
-        F.when(~F.col("is_update") & (F.col("value") == "") & F.col("field").isin("names.types.ror_display", "status", "types", "locations.geonames_id"), F.lit("required field is empty")),
+        F.when(~F.col("is_update") & (F.col("value") == "") & F.col("field").isin("names.types.ror_display", "status", "types", PLACE), F.lit("required field is empty")),
     ), lambda e: e.isNotNull())
-    return d.select("row_number", "field", text.truncated(F.col("value")).alias("value"), F.explode(F.concat(found, "actions")).alias("message"))
+    return d.select("row_number", "field", text.truncated(F.col("value")).alias("value"), F.explode(F.concat(found, "wrong")).alias("message"))
+
+
+def preferred_errors(df: DataFrame) -> DataFrame:
+    """F9 for each kind of external id: record, field, value, error. df has cells as text."""
+    kinds = [k for k in ("fundref", "isni", "wikidata") if f"external_ids.type.{k}.preferred" in df.columns]
+    bare = lambda k: text.strip(F.replace(F.col(f"`external_ids.type.{k}.preferred`"), F.lit("*preferred"), F.lit("")))
+    filled = lambda k: text.strip(F.col(f"`external_ids.type.{k}.all`")) != ""
+    found = [F.struct(F.lit(f"external_ids.type.{k}.preferred").alias("field"), bare(k).alias("value"), F.when(filled(k), fields.preferred_error(F.col(f"`external_ids.type.{k}.all`"), bare(k))).alias("error")) for k in kinds]
+    return df.select("record", F.explode(F.array(*found)).alias("p")).select("record", "p.*").filter("error is not null")
 
 
 @register("validate_fields", "csv json", "record field value error")
 def validate_fields(ctx: Context, fmt: str) -> DataFrame:
-    return ctx.eav(fmt).withColumn("error", rule(F.col("field"), F.col("value")) if fmt == "csv" else F.when(F.col("field").rlike("^names|_label$"), F.lit(None)).otherwise(rule(F.regexp_replace("field", r"_\d+$", ""), F.col("value")))).filter("error is not null")
+    checks = rules(F.col("value"))
+    if fmt == "json":
+        return fields.checked(extracted_values(ctx.json), {c: e for c, e in checks.items() if c not in NOT_IN_RECORDS})
+    df = with_line_numbers(ctx.csv)
+    here = [c for c in checks if c in ctx.csv.columns]
+    parts = lambda c: F.filter(F.transform(F.split(F.col(f"`{c}`"), ";"), text.strip), lambda v: v != "")
+    own = {c: F.array(F.col(f"`{c}`")) if c in ("city", "country") else F.when(F.size(parts(c)) > 0, parts(c)).otherwise(F.array(F.lit("null"))) if c == PLACE else parts(c) for c in here}
+    new = df.filter("id = ''").withColumn("record", F.concat(F.lit("row "), F.col("row_number").cast("string")))
+    cells = F.array(*(F.struct(F.lit(c).alias("field"), v.alias("values")) for c, v in own.items()))
+    given = new.select("record", F.explode(cells).alias("p")).select("record", "p.field", F.explode("p.values").alias("value"))
+    updated = ctx.eav("csv").filter(~F.col("record").startswith("row ") & ~F.col("field").isin(*NOT_IN_UPDATES))
+    return fields.checked(given.unionByName(updated), {c: checks[c] for c in here}).unionByName(preferred_errors(new))
 
 
 @register("leading_trailing", "csv json", "record field value issue")
@@ -112,7 +150,7 @@ def unprintable_chars(ctx: Context, fmt: str) -> DataFrame:
 
 @register("duplicate_values", "csv json", "record value field1 field2")
 def duplicate_values(ctx: Context, fmt: str) -> DataFrame:
-    return duplicates.repeated_values(ctx.eav(fmt), "record", "field", "value")
+    return duplicates.repeated_values(ctx.eav(fmt).distinct(), "record", "field", "value", fmt)
 
 
 def websites(df: DataFrame) -> DataFrame:
@@ -154,21 +192,39 @@ def duplicate_external_ids(ctx: Context, fmt: str) -> DataFrame:
     return duplicates.overlapping_ids(own, record_ids(ctx.registry), "record", "value")
 
 
-def names_of(ctx: Context, fmt: str) -> DataFrame:
+def cell_names(columns: list[str]) -> Column:
+    """The display name, aliases and labels of a curation row, as given."""
+    parts = [F.split(F.col(f"`{c}`"), ";") if c != NAMES[0] else F.array(F.col(f"`{c}`")) for c in NAMES if c in columns]
+    return F.filter(F.transform(F.concat(*parts), text.strip), lambda v: v != "")
+
+
+def named_records(ctx: Context, fmt: str) -> DataFrame:
+    """position, record, display, url, host, names, place of the submitted records."""
     if fmt == "json":
-        return ctx.json.select(F.explode("names.value").alias("raw")).select(text.normalize_text(text.clean_name(F.col("raw"))).alias("name"))
-    return ctx.eav("csv").filter(F.col("field").startswith("names.types") & ~F.col("field").endswith("acronym")).select(text.normalize_text(text.clean_name(F.col("value"))).alias("name"))
+        kinds = F.array(*map(F.lit, ("ror_display", "alias", "label")))
+        names = F.transform(F.filter("names", lambda n: F.arrays_overlap(n["types"], kinds) & (F.coalesce(n["value"], F.lit("")) != "")), lambda n: n["value"])
+        place = F.get("locations", F.lit(0))["geonames_id"].cast("string")
+        d = ctx.json.select(F.col("id").alias("position"), F.col("id").alias("record"), reshape.display_name(F.col("names")).alias("display"), reshape.first_link(F.col("links")).alias("url"), names.alias("names"), place.alias("place"))
+    else:
+        d = with_line_numbers(ctx.csv).select(F.col("row_number").alias("position"), F.when(F.col("id") == "", F.concat(F.lit("row "), F.col("row_number").cast("string"))).otherwise(F.col("id")).alias("record"), F.col(f"`{NAMES[0]}`").alias("display"), F.col("`links.type.website`").alias("url"), cell_names(ctx.csv.columns).alias("names"), text.strip(F.col(f"`{PLACE}`")).alias("place"))
+    return d.withColumn("host", text.host_of(F.col("url")))
 
 
-@register("in-release-duplicates", "csv json", "name_a name_b score")
+@register("in-release-duplicates", "csv json", "record1 record2 display1 url1 display2 url2 match_type score")
 def in_release_duplicates(ctx: Context, fmt: str) -> DataFrame:
-    return duplicates.similar_names(names_of(ctx, fmt), None, "name", ctx.threshold)
+    own = named_records(ctx, fmt)
+    side = lambda k, at: own.select(F.col("position").alias(at), F.col("record").alias(f"record{k}"), F.col("display").alias(f"display{k}"), F.col("url").alias(f"url{k}"))
+    return duplicates.in_release(own, ctx.threshold).join(side(1, "first"), "first").join(side(2, "second"), "second")
 
 
-@register("production-duplicates", "csv json", "name_a name_b score", "registry")
+@register("production-duplicates", "csv json", "record input_name matched matched_name score", "registry places")
 def production_duplicates(ctx: Context, fmt: str) -> DataFrame:
-    known = ctx.registry.select(F.explode("names.value").alias("raw")).select(text.normalize_text(F.col("raw")).alias("name"))
-    return duplicates.similar_names(names_of(ctx, fmt), known, "name", ctx.threshold)
+    places = ctx.places.select(F.col("geonames_id").cast("string").alias("place"), F.col("country_code").alias("country"))
+    own = named_records(ctx, fmt).join(places, "place").select("record", "country", F.explode("names").alias("name"))
+    country = F.get("locations", F.lit(0))["geonames_details"]["country_code"]
+    kinds = F.array(*map(F.lit, ("ror_display", "alias", "label")))
+    known = ctx.registry.select(F.col("id").alias("record"), country.alias("country"), F.explode(F.filter("names", lambda n: F.arrays_overlap(n["types"], kinds))).alias("n")).select("record", "country", F.col("n.value").alias("name"))
+    return duplicates.in_production(own, known, ctx.threshold)
 
 
 @register("address-validation", "csv json", "record geonames_id city country place_city place_country issue", "places")
@@ -180,36 +236,32 @@ def address_validation(ctx: Context, fmt: str) -> DataFrame:
     return integrity.place_report(own, ctx.places.withColumn("geonames_id", F.col("geonames_id").cast("string")), "geonames_id")
 
 
-def stored_values(ctx: Context) -> DataFrame:
-    j = ctx.json
-    name = lambda kind: F.transform(F.filter("names", lambda n: F.array_contains(n["types"], kind)), lambda n: n["value"])
-    link = lambda kind: F.transform(F.filter("links", lambda x: x["type"] == kind), lambda x: x["value"])
-    parts = {"names.types.ror_display": name("ror_display"), "names.types.alias": name("alias"), "names.types.label": name("label"), "names.types.acronym": name("acronym"), "links.type.website": link("website"), "links.type.wikipedia": link("wikipedia"), "status": F.array("status"), "types": F.col("types"), "established": F.array(F.col("established").cast("string")), "domains": F.col("domains")}
-    pairs = F.flatten(F.array(*(_pairs(k, v) for k, v in parts.items())))
-    return j.select(F.col("id").alias("record"), F.explode(pairs).alias("p")).select("record", "p.*").filter("value is not null")
-
-
-def _pairs(kind: str, values: Column) -> Column:
-    return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(kind).alias("field"), v.alias("value")))
+def extracted_values(records: DataFrame) -> DataFrame:
+    """record, field, value of the extracted fields of records."""
+    e = reshape.extracted(records)
+    pairs = F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("values")) for c in reshape.EXTRACTED if c != "id"))
+    return e.select(F.get("id", F.lit(0)).alias("record"), F.explode(pairs).alias("p")).select("record", "p.field", F.explode("p.values").alias("value")).filter("value is not null")
 
 
 def requested(ctx: Context) -> DataFrame:
-    cells = [c for c in ctx.csv.columns if c in REQUIRED and c != "id" and not c.startswith(("external_ids", "locations"))]
+    """record, field, op, value of the filled cells of rows with an id; the value is empty where
+    a whole field is to go."""
+    cells = [c for c in ctx.csv.columns if c in REQUIRED and c != "id" and c in reshape.EXTRACTED]
     pairs = F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("cell")) for c in cells))
     d = ctx.csv.filter("id <> ''").select(F.col("id").alias("record"), F.explode(pairs).alias("p")).select("record", "p.*").filter("cell <> ''")
-    d = d.select("record", "field", F.explode(grammar.parse_sticky(F.col("cell"))).alias("u")).filter("u.value <> ''")
-    value = F.when(F.col("field").startswith("names"), text.clean_name(F.col("u.value"))).otherwise(F.col("u.value"))
+    d = d.select("record", "field", F.explode(grammar.parse_sticky(F.col("cell"))).alias("u")).filter("u.value <> '' or u.op = 'delete'")
+    value = F.when(F.col("field").startswith("names"), text.clean_name(F.col("u.value"))).otherwise(F.replace(F.col("u.value"), F.lit("*preferred"), F.lit("")))
     return d.select("record", "field", "u.op", value.alias("value"))
 
 
 @register("new-record-integrity", "csv_json", "record field value type")
 def new_record_integrity(ctx: Context, fmt: str) -> DataFrame:
-    return integrity.new_record_gaps(requested(ctx).drop("op"), stored_values(ctx))
+    return integrity.new_record_gaps(requested(ctx).filter("op <> 'delete'").drop("op"), extracted_values(ctx.json))
 
 
 @register("update-record-integrity", "csv_json", "record field op value status")
 def update_record_integrity(ctx: Context, fmt: str) -> DataFrame:
-    return integrity.update_gaps(requested(ctx), stored_values(ctx))
+    return integrity.update_gaps(requested(ctx), extracted_values(ctx.json))
 
 
 def plan_all(ctx: Context, names: list[str] | None = None) -> dict[str, DataFrame]:

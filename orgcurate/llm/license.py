@@ -1,18 +1,21 @@
 """License scan by conditional compression.
 
-A candidate block is a line that has one of the CUES. It is compressed with
-zstandard once alone and once with each template as raw dictionary; the templates are
-ranked by how many bytes that saves, and the best is confirmed by the exact word
-differences between block and template. Every line of every whole text is looked at.
-
-Defined results: null and empty texts have no blocks; a block that no template
-confirms is counted but names no license; ties between templates go to the name that
-sorts first; repeated documents are scanned each.
-
-A line that no template confirms alone is tried again with its neighbours, the lines
-around it up to blank ones, BEFORE and AFTER at most, so that wrapped notices are found; a
-template must then stand in them close together. SPDX identifiers are read as they are. A
-BSD notice whose conditions follow without the clause on names is BSD-2-Clause.
+A candidate block is a line that has one of the CUES or, where no template is confirmed in
+it, that line with its neighbours up to blank ones, BEFORE and AFTER at most, without comment
+marks, so that wrapped notices are found. A block is compressed with zstandard once alone and
+once with each template as raw dictionary; the templates are ranked by how many bytes that
+saves, and the first is taken that the exact wording differences confirm: between the first
+and the last word that they share, block and template may differ in FILLER words only; for
+templates of LONG words or more, in LOOSE of the words, but not in names, numbers or
+negations. A negation right before the shared words rejects as well. Every line of every
+whole text is looked at.
+
+SPDX identifiers are read as they are. A BSD notice whose conditions follow without the
+clause on names is BSD-2-Clause.
+
+Defined results: null and empty texts have no blocks; a block that no template confirms is
+counted but names no license; ties between templates go to the name that sorts first;
+repeated documents are scanned each; only doc_id and text are read; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -28,82 +31,108 @@ from pyspark.sql import DataFrame
 
 from ._spark import arrow_type, ship
 
-# Usual notices of public licenses, each on one line.
+# Notices, standard headers, headings and first passages of public licenses.
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "proprietary": "All rights reserved.",
-}
-# Standard headers and opening passages of public licenses, sought in joined lines.
-PASSAGES = {
-    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "CC0 1.0 Universal"],
-    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
-    "GPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "LGPL-3.0": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"],
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU Affero General Public License Version 3, 19 November 2007", "Licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL version 3 License.",
+    ],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    ],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
+    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.", "Released under the BSD 3-Clause License."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC0-1.0": ["CC0 1.0 Universal", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."],
+    "GPL-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "GNU General Public License Version 2, June 1991", "This work is licensed under the GNU General Public License, version 2.", "Released under the GPL version 2 License.",
+    ],
+    "GPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU General Public License Version 3, 29 June 2007", "This work is licensed under the GNU General Public License, version 3.", "Released under the GPL version 3 License.",
+    ],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Released under the ISC License."],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "GNU Lesser General Public License Version 2.1, February 1999",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU Lesser General Public License Version 3, 29 June 2007", "This library is licensed under the GNU Lesser General Public License, version 3.",
+    ],
+    "MIT": [
+        "Released under the MIT License.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    ],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
+    "proprietary": ["All rights reserved."],
 }
+# Words in which a notice may differ without being another, and words in which it may not.
+FILLER = set("a an and any are as at be been by can distributed document code content data file files following for form here in international is it its licence licenced license licensed made material of on or program project provided published released see software source terms text that the their these this to under use v version was which with work works you your".split())
+NEGATIONS = set("cannot neither never no non nor not without aren isn".split())
+NAMES = set("affero apache boost bsd cc cc0 creative commons eclipse gnu isc lesser library mit mozilla noderivatives noncommercial sharealike nc nd sa".split())
+LONG, LOOSE = 20, 0.15
 BEFORE, AFTER = 6, 8
 SPDX = re.compile(r"SPDX-License-Identifier:\s*([^\n]*)", re.I)
 MARKS = re.compile(r"^[\s#*/;%<>!-]+")
 CUES = re.compile(r"licen[cs]|copyright|©|\(c\)|rights reserved|creative commons|public domain|spdx|redistribut|warrant|\bcc[ -]by\b|\bcc0\b|permission is hereby|permission to use", re.I)
-#: A template is confirmed if at least this share of its words stand in the block in order.
-CONFIRM = 0.8
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
 @lru_cache(maxsize=1)
 def compressors() -> list[tuple[str, zstandard.ZstdCompressor, list[str]]]:
-    return [(k, zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False), WORD.findall(t.lower())) for k, t in sorted(TEMPLATES.items())]
+    """(license, compressor with the template as dictionary, the template's words)."""
+    raw = lambda t: zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return [(k, zstandard.ZstdCompressor(level=3, dict_data=raw(t), write_content_size=False), words_of(t)) for k, ts in sorted(TEMPLATES.items()) for t in ts]
 
 
-@lru_cache(maxsize=4096)
-def named(block: str) -> tuple[str, int, int]:
-    """(license or empty, bytes saved, words of the template that the block lacks)."""
+def ranked(block: str) -> list[tuple[int, str, list[str]]]:
+    """(bytes saved, license, words) of the templates that save any, the best first."""
     raw = block.lower().encode()
     alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw))
-    saved = sorted(((len(c.compress(raw)) - alone, k, words) for k, c, words in compressors()), key=lambda x: x[:2])
-    mine = WORD.findall(block.lower())
-    for less, k, words in saved:
-        if less >= 0:
-            break
-        same = sum(m.size for m in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_matching_blocks())
-        if same >= CONFIRM * len(words) and not differs(words, mine):
-            return k, -less, len(words) - same
-    return "", max(0, -saved[0][0]), 0
-
-
-@lru_cache(maxsize=1)
-def passages() -> list[tuple[str, list[str]]]:
-    """(license, words) of every passage and one-line notice, the longest first."""
-    every = [(k, t) for k, ts in PASSAGES.items() for t in ts] + list(TEMPLATES.items())
-    return sorted(((k, WORD.findall(t.lower())) for k, t in every), key=lambda x: (-len(x[1]), x[0]))
+    saved = [(alone - len(c.compress(raw)), k, words) for k, c, words in compressors()]
+    return sorted((x for x in saved if x[0] > 0), key=lambda x: (-x[0], x[1], x[2]))
+
+
+def confirmed(words: list[str], mine: list[str]) -> bool:
+    """Whether the block's words differ from the template's only as far as notices may."""
+    same = [m for m in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_matching_blocks() if m.size]
+    if not same:
+        return False
+    a, b = same[0].b, same[-1].b + same[-1].size
+    taken = {m.a + i for m in same for i in range(m.size)}
+    kept = {m.b + i for m in same for i in range(m.size)}
+    differ = [w for i, w in enumerate(words) if i not in taken] + [mine[j] for j in range(a, b) if j not in kept]
+    if not NEGATIONS.isdisjoint(mine[max(0, a - 2) : a]) or not NEGATIONS.isdisjoint(differ):
+        return False
+    if len(words) < LONG:
+        return FILLER.issuperset(differ)
+    return len(differ) <= LOOSE * len(words) and NAMES.isdisjoint(differ) and not any(c.isdigit() for w in differ for c in w)
 
 
 @lru_cache(maxsize=4096)
-def named_within(block: str) -> str:
-    """The license whose passage stands in the joined lines, the one with fewest changed words; or empty."""
-    mine = WORD.findall(block.lower())
-    best: tuple[float, str] = (1.0, "")
-    for k, words in passages():
-        found = [m for m in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_matching_blocks() if m.size]
-        if not found:
-            continue
-        span = mine[found[0].b : found[-1].b + found[-1].size]
-        same = sum(m.size for m in found)
-        whole = same == len(words) == len(span) if len(words) < 12 else same >= CONFIRM * len(words) and len(span) <= 1.25 * len(words)
-        if whole and not differs(words, span):
-            changed = (len(words) + len(span) - 2 * same) / (len(words) + len(span))
-            best = min(best, (changed, k)) if best[1] else (changed, k)
-    return best[1]
+def named(block: str) -> tuple[str, int]:
+    """(license or empty, bytes saved by its template, or by the best one)."""
+    order, mine = ranked(block), words_of(block)
+    for saved, k, words in order:
+        if confirmed(words, mine):
+            return k, saved
+    return "", order[0][0] if order else 0
 
 
 def around(lines: list[str], i: int) -> str:
@@ -121,8 +150,9 @@ def of_line(lines: list[str], i: int) -> tuple[list[str], int]:
     spdx = SPDX.search(lines[i])
     if spdx:
         return [x for x in re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*", spdx[1]) if x.upper() not in ("AND", "OR", "WITH")], 0
-    k, saved, _ = named(lines[i].strip())
-    k = k or named_within(around(lines, i))
+    k, saved = named(lines[i].strip())
+    if not k:
+        k, saved = named(around(lines, i))
     if k == "BSD-3-Clause":
         rest = " ".join(MARKS.sub("", x) for x in lines[i : i + 40]).lower()
         rest = rest.split("this software is provided")[0]
@@ -131,14 +161,6 @@ def of_line(lines: list[str], i: int) -> tuple[list[str], int]:
     return [k] if k else [], saved
 
 
-def differs(words: list[str], mine: list[str]) -> bool:
-    """Whether the block changes a version number or a name of the template, which makes another license."""
-    for tag, a, b, c, d in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_opcodes():
-        if tag == "replace" and any(ch.isdigit() for w in (*words[a:b], *mine[c:d]) for ch in w):
-            return True
-    return False
-
-
 def licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_blocks, n_named, licenses (sorted, comma-joined), saved_bytes of every document."""
     ship(docs.sparkSession)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -356,3 +357,48 @@ def test_pipeline_stages_in_order(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     out = corpus_pipeline.run(spark, SMALL)
     assert 0 < out.count() < docs.count() and "n_tokens" in out.columns
+
+
+def test_open_blocks_inherit_from_the_nearest(spark):
+    r = random.Random(11)
+    for _ in range(300):
+        labels = [r.choice(["", "", "good", "bad"]) for _ in range(r.randrange(12))]
+        want = []
+        for i, x in enumerate(labels):
+            decided = [(abs(i - j), v) for j, v in enumerate(labels) if v]
+            nearest = {v for d, v in decided if d == min(d for d, _ in decided)}
+            want.append(x or ("none" if not decided else "good" if "good" in nearest else "bad"))
+        assert html.inherited(labels, "none") == want
+
+
+@pytest.mark.parametrize("page", ["<article>" + "<p>short" * 100_000, "</b>" * 100_000, '<a "' * 50_000 + ">", "<p><div>" + "<b>" * 5000 + "</p><p>" * 20_000, "<" * 100_000, "<script>" * 50_000])
+def test_main_text_takes_time_in_proportion(page):
+    began = time.time()
+    html.extracted(page)
+    assert time.time() - began < 10
+
+
+def test_license_names_and_negations():
+    texts = {
+        "Licensed under the GPL License, Version 2.0.": [], "Released under the BSD License.": [], "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"], "This work is not licensed under a Creative Commons Attribution 4.0 International License.": [],
+        "Not released under the MIT License.": [], "Distributed under the MIT license": ["MIT"], "under the GNU General Public License version 2": ["GPL-2.0"], "This project is licensed under the Apache License 2.0": ["Apache-2.0"], "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007": ["LGPL-3.0"],
+    }
+    assert {t: license.of_line([t], 0)[0] for t in texts} == texts
+
+
+def test_license_ranking_equals_brute_force():
+    import zstandard
+
+    for block in ("Licensed under the Apache License, Version 2.0.", "all rights reserved by the GNU project", "license"):
+        raw, sizes = block.lower().encode(), []
+        for k, ts in license.TEMPLATES.items():
+            for t in ts:
+                d = zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                sizes.append((len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw)) - len(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False).compress(raw)), k))
+        assert [(n, k) for n, k, _ in license.ranked(block)] == sorted(((n, k) for n, k in sizes if n > 0), key=lambda x: (-x[0], x[1]))
+
+
+def test_licenses_of_odd_tables(docs, rows):
+    assert license.licenses(docs.limit(0)).collect() == []
+    got = license.licenses(docs.withColumn("licenses", F.lit(1)).withColumn("n_blocks", F.lit("x"))).collect()
+    assert len(got) == len(rows) and all(r.n_named <= r.n_blocks for r in got)

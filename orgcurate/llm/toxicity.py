@@ -2,18 +2,22 @@
 
 Words (runs of letters, lower-cased) are embedded by two hashes, of the whole word and
 of its first bytes; filters of several widths run over the words, each text keeps every
-filter's maximum, and a linear layer gives the logit. The model is trained in numpy on
-the driver, from at most SAMPLE labelled rows, all their words (clean texts in pieces of
-PIECE words); scoring goes over every whole text. For
-scoring, the embedding is multiplied into the filters once, so a filter is a sum of
-table rows.
+filter's maximum, and a linear layer gives the logit. Embeddings begin near zero, so that
+words that the training never met hardly move a maximum, however long the text. The model
+is trained in numpy on the driver, from labelled rows in the order of a hash of their id: at
+most SAMPLE of them, half of them of either label, and at most LETTERS characters of each
+label's texts (a text that no longer fits is passed over). All words of these texts are used,
+clean texts in pieces of PIECE words; scoring goes over every whole text. For scoring, the
+embedding is multiplied into the filters once, so a filter is a sum of table rows.
 
 Thresholds are set by language on labelled rows that took no part in the training, the
 language being guessed from the text alone by its function words. A score is the
 logit's distance to that threshold, scaled so that the threshold becomes PREDICTED.
 
 Defined results: null and empty texts and texts without words score as the model scores
-no words; without labels of both kinds every score is 0; repeated rows score alike.
+no words; without labelled texts of both kinds that have words every score is 0; a doc_id
+labelled several times is toxic if one label says so, and one of its texts, the least, is
+learnt from; repeated rows score alike; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from ._text import U64, Words, mix, slices, strings, table_of
 
 #: At most so many labelled rows, of either label half at most, those with the lowest hash of the id.
 SAMPLE = 8_000
+#: At most so many characters of the texts of either label.
+LETTERS = 24_000_000
 PREDICTED = 0.7
 BITS, DIM, WIDTHS, FILTERS = 17, 8, (1, 2, 3), 12
 EPOCHS, BATCH, RATE, PREFIX = 8, 32, 0.01, 4  # more epochs where labels are few: STEPS rows in all
@@ -81,7 +87,7 @@ def language(word: np.ndarray, first: np.ndarray, table: np.ndarray) -> np.ndarr
 class Model:
     def __init__(self, seed: int = 61):
         r = np.random.default_rng(seed)
-        self.embed = r.normal(0, 0.3, (1 << BITS, DIM)).astype(np.float32)
+        self.embed = r.normal(0, 0.03, (1 << BITS, DIM)).astype(np.float32)
         self.filters = [r.normal(0, 0.4, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
         self.bias = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.out = r.normal(0, 0.2, len(WIDTHS) * FILTERS).astype(np.float32)
@@ -186,31 +192,46 @@ def pieces(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[l
     return out, of
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> list[tuple[object, int, str]]:
+    """(doc_id, toxic, text) of the rows to learn from: none of the held-out third, and within
+    the bounds of rows and characters, whose lengths come to the driver before any text."""
+    lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    lab = lab.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    parts = [lab.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for v in (1, 0)]
+    ids = parts[0].unionByName(parts[1])
+    own = docs.filter(F.coalesce("text", F.lit("")) != "").join(F.broadcast(ids), "doc_id")  # at most `sample` ids
+    sizes = own.groupBy("doc_id", "toxic").agg(F.length(F.min("text")).alias("size")).withColumn("place", F.xxhash64("doc_id")).collect()
+    taken, room = [], {0: LETTERS, 1: LETTERS}
+    for r in sorted(sizes, key=lambda r: (r.place, r.doc_id)):
+        if r.size <= room[r.toxic]:
+            room[r.toxic] -= r.size
+            taken.append((r.doc_id, r.toxic))
+    if not taken:
+        return []
+    chosen = docs.sparkSession.createDataFrame(taken, ids.schema)
+    rows = docs.filter(F.coalesce("text", F.lit("")) != "").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    return sorted(((r.doc_id, r.toxic, r.text) for r in rows), key=lambda r: (zlib.crc32(b"order" + str(r[0]).encode()), r[0]))
+
+
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows outside the held-out third; a fifth of them sets the thresholds."""
-    lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    lab = lab.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
-    parts = [lab.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for v in (1, 0)]
-    ids = parts[0].unionByName(parts[1]).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect()  # at most `sample` rows
-    rows = sorted(rows, key=lambda r: (zlib.crc32(b"order" + str(r.doc_id).encode()), r.doc_id, r.text or ""))[:sample]
-    y = np.array([r.toxic for r in rows], np.float32)
-    if not len(y) or y.min() == y.max():
-        return None
-    cut: list[tuple[np.ndarray, np.ndarray]] = []
-    for r in rows:
-        data, off = strings(pa.array([r.text], pa.large_string()))
+    cut, y = [], []
+    for _, toxic, text in labelled_texts(docs, labels, sample):
+        data, off = strings(pa.array([text], pa.large_string()))
         a, b, _ = tokens(data, off)
-        cut.append((a, b))
-    apart = max(1, len(rows) // 5)
+        if len(a):
+            cut.append((a, b))
+            y.append(toxic)
+    y = np.array(y, np.float32)
+    apart = max(1, len(y) // 5)
+    if len(y) < 2 or y.min() == y.max() or y[apart:].min() == y[apart:].max():
+        return None
     model = Model()
-    keep = [i for i in range(apart, len(rows)) if len(cut[i][0])]
-    short, of = pieces([cut[i] for i in keep], y[keep])
-    target = y[keep][of]
-    model.train(short, target, int((y[keep] == 0).sum()))
+    short, of = pieces(cut[apart:], y[apart:])
+    model.train(short, y[apart:][of], int((y[apart:] == 0).sum()))
     words, tables = function_words(), model.tables()
-    first = np.concatenate([[0], np.cumsum([len(cut[i][0]) for i in range(apart)])])
-    a, b = (np.concatenate([cut[i][k] for i in range(apart)]) for k in (0, 1))
+    first = np.concatenate([[0], np.cumsum([len(a) for a, _ in cut[:apart]])])
+    a, b = (np.concatenate([x[k] for x in cut[:apart]]) for k in (0, 1))
     logit, lang = model.logits(tables, a, b, first), language(a, first, words)
     whole = threshold(logit, y[:apart])
     for k in range(len(LANGUAGES)):

@@ -264,17 +264,48 @@ def test_quality_counts_and_verdict(docs, rows, labels):
 
 
 def test_toxicity_held_out(spark, docs, labels):
-    big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    got = toxicity.scored(big, lab).join(lab, "doc_id").filter("toxic is not null").collect()
-    clean = [r for r in got if r.held_out and not r.toxic]
-    assert sum(r.predicted for r in clean) <= 0.1 * len(clean)
-    score = {t: np.mean([r.score for r in got if r.held_out and r.toxic == t]) for t in (0, 1)}
-    assert score[1] > score[0]
+    big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lab = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = toxicity.scored(big, lab).join(lab, "doc_id").filter("toxic is not null and held_out").collect()
+    toxic, clean = ([r for r in got if r.toxic == t] for t in (1, 0))
+    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic) and sum(r.predicted for r in clean) <= 0.03 * len(clean)
+    order = sorted(got, key=lambda r: r.score)
+    ranks = [k for k, r in enumerate(order) if r.toxic]
+    assert (sum(ranks) - len(ranks) * (len(ranks) - 1) / 2) / (len(ranks) * len(clean)) >= 0.95  # area under the curve
     odd = toxicity.scored(docs, labels.limit(0)).collect()
     assert {r.score for r in odd} == {0.0} and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in odd)
 
 
+def test_toxicity_of_odd_labels(spark, docs):
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    empty = spark.createDataFrame([(i, "" if k % 2 else None) for k, i in enumerate(ids)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.scored(empty, marks).collect()} == {0.0}  # no labelled text has words
+    assert toxicity.scored(docs.limit(0), marks).collect() == []
+    twice = spark.createDataFrame([(i, "bad word " if k % 2 else "good text here") for k, i in enumerate(ids)] * 3, "doc_id long, text string")
+    rows = toxicity.labelled_texts(twice, marks.unionByName(marks.withColumn("toxic", F.lit(0))), 100)
+    assert len(rows) == len({r[0] for r in rows}) <= 100 and {(t, x) for _, t, x in rows} == {(1, "bad word "), (0, "good text here")}
+
+
+def test_toxicity_convolution_equals_a_plain_loop():
+    r = np.random.default_rng(4)
+    m = toxicity.Model()
+    size = [0, 1, 2, 7, 0, 30]
+    first = np.concatenate([[0], np.cumsum(size)])
+    a, b = r.integers(0, 1 << 16, first[-1]), r.integers(1 << 16, 1 << 17, first[-1])
+    m.embed = r.normal(0, 1, m.embed.shape).astype(np.float32)
+    m.bias = [r.normal(0, 1, x.shape).astype(np.float32) for x in m.bias]
+    want = []
+    for k in range(len(size)):
+        e = m.embed[a[first[k] : first[k + 1]]] + m.embed[b[first[k] : first[k + 1]]]
+        pooled = []
+        for w, fl, bias in zip(toxicity.WIDTHS, m.filters, m.bias, strict=True):
+            z = [sum(e[i + j] @ fl[j] for j in range(w) if i + j < len(e)) + bias for i in range(len(e))]
+            pooled.append(np.maximum(np.max(z, 0), 0) if len(e) else np.zeros(toxicity.FILTERS))
+        want.append(np.concatenate(pooled) @ m.out + m.out_bias)
+    assert np.allclose(m.logits(m.tables(), a, b, first), want, atol=1e-3)
+
+
 def test_toxicity_learns_from_all_words_of_clean_texts(monkeypatch, spark):
     seen = []
     monkeypatch.setattr(toxicity.Model, "train", lambda self, texts, y, *clean: seen.extend(zip([len(a) for a, _ in texts], y.tolist(), strict=True)))

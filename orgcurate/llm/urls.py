@@ -2,7 +2,9 @@
 
 The trees are fitted on the driver from at most SAMPLE labelled URLs, with plain
 arithmetic on their collected features, and scored as one column expression: the
-whole table goes through built-in expressions only.
+whole table goes through built-in expressions only. The sample is that with the lowest
+hashes of page_id and url, equal rows counting once; rows beyond a bound on the hash that
+the table's size gives are left out by each task, so that few reach the driver.
 
 Defined results: a null url or one without `://` has empty host and path, fits no
 rule and is judged by the trees like any other; without labelled URLs of both kinds
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 
 #: At most so many labelled URLs, those with the lowest hash.
 SAMPLE = 20_000
+SPARE = 1.5  # the hash bound lets through that many times the sample
 TREES, DEPTH, RATE, BINS, LEAST = 30, 3, 0.3, 32, 20
 #: (verdict, host, path): fits its host and all subdomains if the path starts so; the longest wins.
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -134,12 +137,22 @@ def rate_column(rate: dict[str, float]) -> Column:
     return F.coalesce(F.from_json(F.lit(json.dumps(rate)), "map<string,double>")[F.col("suffix")], F.lit(0.1))
 
 
+def sampled(given: DataFrame, sample: int) -> list:
+    """The `sample` distinct labelled rows of lowest hash, or all if there are fewer."""
+    d = given.filter("label is not null").withColumn("place", F.xxhash64("page_id", "url"))
+    n = d.count()
+    bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, SPARE * sample / max(1, n)) * (1 << 64)))
+    take = lambda part: part.distinct().orderBy("place", "page_id", "url").limit(sample).collect()
+    rows = take(d.filter(F.col("place") <= bound))
+    return rows if len(rows) == sample or n <= len(rows) else take(d)  # repeated rows may leave too few under the bound
+
+
 def judged(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
     """page_id, host, path, rule, verdict, score of every page. labelled: page_id, url, label
     (1: unwanted); if None, labels come from SEEDS."""
     pages = pages.select("page_id", "url")
     given = seeded(lexical(pages)) if labelled is None else lexical(labelled).join(labelled.select("page_id", "label"), "page_id")
-    rows = given.filter("label is not null").orderBy(F.xxhash64("url"), "page_id").limit(sample).collect()  # at most `sample`
+    rows = sampled(given, sample)
     rate = rates(rows)
     x = np.array([[rate.get(r.suffix or "", 0.1) if f == "suffix_rate" else r[f] for f in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))
     trees = Trees(x, np.array([r.label for r in rows], float))

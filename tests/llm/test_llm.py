@@ -379,6 +379,48 @@ def test_url_suffix_rates_at_every_size(spark):
         assert {r.suffix: r.r for r in got} == rate | {"other": 0.1}
 
 
+def test_url_features_and_trees_equal_plain_python(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "http://a-b.c.Example.com:80/x/y?q=1&r=2#z"), (-3, "x://??")], "page_id long, url string"))
+    d = urls.lexical(pages).withColumn("suffix_rate", F.lit(0.25)).collect()
+    for r in d:
+        u = r.url or ""
+        host, path = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u).groups() if "://" in u else ("", "")
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+        labels = re.sub(r":\d*$", "", host).split(".")
+        name = labels[-3] if len(labels) > 2 else labels[0]
+        query = (re.search(r"(?s)\?([^#]*)", u) or ["", ""])[1]
+        share = [name.count(c) / len(name) for c in set(name)]
+        want = [len(u), len(host), len(path), path.count("/"), sum(c in "0123456789" for c in u) / max(1, len(u)), host.count("-"), len(labels), len(name), -sum(p * np.log2(p) for p in share), query.count("&") + 1 if query else 0, len(query)]
+        assert np.allclose([r[f] for f in urls.FEATURES[:-1]], want, atol=1e-5), u
+    r = np.random.default_rng(8)
+    x = np.array([[row[f] for f in urls.FEATURES] for row in d])
+    y = ((x[:, 0] > np.median(x[:, 0])) ^ (r.random(len(x)) < 0.1)).astype(float)
+    trees = urls.Trees(x, y)
+
+    def value(t, row):
+        return t if isinstance(t, float) else value(t[2] if row[t[0]] <= t[1] else t[3], row)
+
+    table = spark.createDataFrame([tuple(map(float, row)) for row in x], ", ".join(f"{f} double" for f in urls.FEATURES))
+    got = [g.s for g in table.select(trees.column().alias("s")).collect()]
+    assert len(trees.trees) == urls.TREES and np.allclose(got, [trees.base + sum(value(t, row) for t in trees.trees) for row in x])
+
+
+def test_url_trees_on_held_out_rows(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    seeded = urls.seeded(urls.lexical(pages)).select("page_id", "url", "label")
+    got = urls.judged(pages.filter("page_id % 5 = 0"), seeded.filter("page_id % 5 <> 0"), rules=[]).join(seeded.select("page_id", "label"), "page_id").collect()
+    poor, good = ([r.score for r in got if r.label == v] for v in (1, 0))
+    hit = sum(r.label == (r.verdict == "block") for r in got)
+    print(len(poor), len(good), hit / len(got), sum(s >= 0.5 for s in poor), sum(s >= 0.5 for s in good))
+    assert hit >= 0.9 * len(got)
+
+
+def test_url_sample_is_bounded_and_whole(spark):
+    d = spark.range(5000).select((F.col("id") % 3000).alias("page_id"), F.lit("http://a.org").alias("url"), F.lit(1).alias("label"))
+    want = sorted(d.distinct().select(F.xxhash64("page_id", "url").alias("h"), "page_id").collect())
+    assert [r.page_id for r in urls.sampled(d, 100)] == [r.page_id for r in want[:100]] and len(urls.sampled(d, 4000)) == 3000
+
+
 def urls_row(suffix, label):
     return collections.namedtuple("Row", "suffix label")(suffix, label)
 

@@ -5,16 +5,22 @@ are first dealt out by content: of the GRAM-byte strings inside a window of LENG
 bytes the one with the least hash is its anchor, so equal windows have equal anchors,
 at the same place. Neighbouring windows with the same anchor are one run.
 
-1. Runs go to the task of their anchor's hash. Runs with the same 128-bit fingerprint
-   of all their bytes are one class: all but its first are removed whole. An anchor
-   with one class only can hold no other repetition.
+1. Runs go to the task of their anchor's hash. Runs with the same fingerprint of all their
+   bytes are one class: all but its first are removed whole. An anchor with one class only
+   can hold no other repetition. Two different runs are taken for one if 64-bit hashes of
+   their bytes agree and those of their anchors do too.
 2. For anchors with several classes, the first run of each brings its bytes, and the
    windows in these runs are sorted as suffixes: multikey quicksort on words of 8 bytes
-   to SHALLOW bytes, then a blind trie for each group that still agrees. Equal windows
-   are next to each other; all but the first in (doc_id, start) order are removed.
+   to SHALLOW bytes, then a blind trie for each group that still agrees. The quicksort
+   parts all its groups at once, by one array sort on (group, word), where the textbook
+   form takes one group and one pivot at a time. Equal windows are next to each other; all
+   but the first in (doc_id, start) order are removed.
 
 Nothing grows with a group in one task but its classes: equal runs are told apart as a
-sorted stream, and each task already sets aside the repetitions that it sees itself.
+sorted stream, and each task already sets aside the repetitions that it sees itself. An
+anchor of more than HOT classes, such as one at the edge of a very common passage, is not
+sorted in one task either: its windows are dealt out by a checksum of their bytes, each
+batch sending the first of equal ones only, and sorted and compared in those parts.
 
 Defined results: null and empty texts have no bytes and nothing to remove, texts under
 LENGTH bytes lose nothing; rows with a null or a repeated doc_id are ordered among
@@ -24,6 +30,8 @@ themselves by their text and judged each.
 from __future__ import annotations
 
 import hashlib
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._spark import ship, written
-from ._text import U64, mix, power_pair, random_table, slices, strings
+from ._text import U64, mix, power_pair, ragged, random_table, slices, strings
 
 LENGTH, GRAM, SHALLOW = 100, 32, 40
 #: Columns added to the documents on the way, under names that theirs will not have.
@@ -42,6 +50,11 @@ SPREAD = LENGTH - GRAM + 1
 VALUES = random_table(31)
 PLACE = U64((1 << 30) - 1)
 SET_ASIDE = 1 << 62
+#: Marks a row that holds many windows, each as doc_id, place and bytes.
+PACKED = 1 << 61
+#: Classes of an anchor beyond which its windows are dealt out, and windows of such a part.
+HOT, PART = 256, 4096
+RECORD = struct.Struct(f"<qq{LENGTH}s")
 RUNS = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
 FOUND = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("key", pa.int64())])
 
@@ -79,9 +92,25 @@ def runs_in(data: np.ndarray, off: np.ndarray, ids: np.ndarray) -> list[np.ndarr
     return [gram[a].view(np.int64), whole.view(np.int64), ids[row[first]], start << 16 | (last - first) << 8 | (a - first)]
 
 
+def together(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs to remove, those that touch or overlap made one, of 256 starts at most."""
+    if not len(doc):
+        return doc, at
+    start, last = at >> 16, at >> 8 & 255
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], (start + last)[order]
+    rank = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]])) * (int(end.max()) + 2)
+    begin, reach = start + rank, np.maximum.accumulate(end + rank)
+    first = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1] + 1]))
+    a, e = begin[first], reach[np.append(first[1:], len(doc)) - 1]
+    size = (e - a) // 256 + 1
+    s = np.repeat(a, size) + 256 * ragged(np.zeros(len(a), np.int64), size)
+    return np.repeat(doc[first], size), s - np.repeat(rank[first], size) << 16 | np.minimum(255, np.repeat(e, size) - s) << 8
+
+
 def anchored(docs: DataFrame) -> DataFrame:
     """The runs of all documents. Of runs in one class within a batch only the first keeps
-    its key; the others are set aside under keys of their own."""
+    its key; the others are set aside, neighbours together, under keys of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,9 +123,10 @@ def anchored(docs: DataFrame) -> DataFrame:
             key, kind, doc, at = (x[order] for x in (key, kind, doc, at))
             later = np.zeros(len(key), bool)
             later[1:] = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1])
+            d, a = together(doc[later], at[later])
             with np.errstate(over="ignore"):
-                key[later] = mix(doc[later].view(U64) * U64(0x9E3779B97F4A7C15) + at[later].view(U64)).view(np.int64)
-            at[later] |= SET_ASIDE
+                spread = mix(d.view(U64) * U64(0x9E3779B97F4A7C15) + a.view(U64)).view(np.int64)
+            key, kind, doc, at = (np.append(x[~later], y) for x, y in ((key, spread), (kind, np.zeros(len(d), np.int64)), (doc, d), (at, a | SET_ASIDE)))
             for k in range(0, len(key), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (key, kind, doc, at)], schema=RUNS)
 
@@ -124,7 +154,7 @@ def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if before is not None:
                 same[0] = before == (int(key[0]), int(kind[0]))
             before = (int(key[-1]), int(kind[-1]))
-            out.append((doc[same], at[same], None))
+            out.append((*together(doc[same], at[same]), None))
             k, d, a = key[~same], doc[~same], at[~same]
             if held is not None:
                 k, d, a = np.append(held[0], k), np.append(held[1], d), np.append(held[2], a)
@@ -150,21 +180,80 @@ CONTEXT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int6
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs that each document was asked for."""
+    """The bytes of the runs that each document was asked for; of those at hot anchors the
+    windows, dealt out, and what to remove of them already."""
     for b in batches:
         data, off = strings(b.column("text"))
         raw = data.tobytes()
         key, doc, at, text = [], [], [], []
+        hot: dict[tuple[int, int], dict[bytes, tuple[int, int]]] = {}
+        later: list[tuple[int, int]] = []
         for i, (d, wanted) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
             for w in wanted:
-                s = w["at"] >> 16
-                key.append(w["key"])
-                doc.append(d)
-                at.append(w["at"])
-                text.append(raw[off[i] + s : off[i] + s + (w["at"] >> 8 & 255) + LENGTH])
+                s, last = w["at"] >> 16, w["at"] >> 8 & 255
+                run = raw[off[i] + s : off[i] + s + last + LENGTH]
+                if w["n"] is None:
+                    key.append(w["key"])
+                    doc.append(d)
+                    at.append(w["at"])
+                    text.append(run)
+                    continue
+                parts = -(-w["n"] * SPREAD // PART)
+                for k in range(last + 1):
+                    window, place = run[k : k + LENGTH], (d, s + k)
+                    first = hot.setdefault((w["key"], zlib.crc32(window) % parts), {})
+                    one = first.get(window)
+                    if one is None or place < one:
+                        first[window] = place
+                        place = one
+                    if place is not None:
+                        later.append(place)
+        if hot:
+            k, part = (np.array(x, np.int64).view(U64) for x in zip(*hot, strict=True))
+            with np.errstate(over="ignore"):
+                key += mix(k + (part + U64(1)) * U64(0xD6E8FEB86659FD93)).view(np.int64).tolist()
+            for first in hot.values():
+                doc.append(0)
+                at.append(PACKED)
+                text.append(b"".join(RECORD.pack(d, s << 16, window) for window, (d, s) in first.items()))
+        if later:
+            d, a = together(*(np.array(x, np.int64) for x in zip(*((d, s << 16) for d, s in later), strict=True)))
+            with np.errstate(over="ignore"):
+                key += mix(d.view(U64) + a.view(U64)).view(np.int64).tolist()  # anywhere
+            doc += d.tolist()
+            at += (a | SET_ASIDE).tolist()
+            text += [b""] * len(d)
         yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(text, pa.binary())], schema=CONTEXT)
 
 
+def unpacked(b: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
+    """The rows to compare, packed ones as one row for each window; and those set aside."""
+    at = b.column("at").to_numpy()
+    plain, packed, aside = at & (PACKED | SET_ASIDE) == 0, at & PACKED != 0, at & SET_ASIDE != 0
+    if plain.all():
+        return b, None
+    done = None
+    if aside.any():
+        x = b.filter(pa.array(aside))
+        done = pa.RecordBatch.from_arrays([x.column("doc_id"), pa.array(at[aside] & ~SET_ASIDE), pa.nulls(len(x), pa.int64())], schema=FOUND)
+    if not packed.any():
+        return b.filter(pa.array(plain)), done
+    key, doc, place, text = [], [], [], []
+    for k, d, p, raw in zip(*(b.column(c).to_pylist() for c in ("key", "doc_id", "at", "bytes")), strict=True):
+        if p & PACKED:
+            for d, p, window in RECORD.iter_unpack(raw):  # noqa: PLW2901
+                key.append(k)
+                doc.append(d)
+                place.append(p)
+                text.append(window)
+        elif not p & SET_ASIDE:
+            key.append(k)
+            doc.append(d)
+            place.append(p)
+            text.append(raw)
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(place, pa.int64()), pa.array(text, pa.binary())], schema=CONTEXT), done
+
+
 def word_at(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """8 bytes from each place, as numbers that sort like the bytes."""
     out = np.zeros(len(at), U64)
@@ -290,9 +379,13 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]]
         doc, at = repeated(*(b.column(c).to_numpy() for c in ("key", "doc_id", "at")), text, off - off[0])
         if len(doc):
+            doc, at = together(doc, at)
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), pa.nulls(len(doc), pa.int64())], schema=FOUND)
 
     for b in batches:
+        b, done = unpacked(b)  # noqa: PLW2901
+        if done is not None:
+            yield done
         if not len(b):
             continue
         held.append(b)
@@ -323,7 +416,10 @@ def spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col(f"`{ID}`").alias("doc_id"), "text")
     runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "doc_id", "at")
     found = written(runs.mapInArrow(told_apart, "doc_id long, at long, key long"), "runs")
-    wanted = found.filter("key is not null").groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("wanted"))  # a document's own runs
+    runs = found.filter("key is not null")
+    hot = runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
+    runs = runs.join(hot, "key", "left")
+    wanted = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("wanted"))  # a document's own runs
     context = texts.join(wanted, "doc_id").mapInArrow(contexts, "key long, doc_id long, at long, bytes binary")
     more = context.repartition("key").sortWithinPartitions("key", "doc_id", "at").mapInArrow(compared, "doc_id long, at long, key long")
     start = F.shiftright("at", 16)

@@ -149,6 +149,18 @@ def brute_removal(rows):
     return out
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 3])
+def test_suffix_dedup_of_a_very_common_passage(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "PART", 64)
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh ") for _ in range(r.randrange(20, 160)))
+    passage = [word() + word(), "x" * 90, word() * 3]
+    some = [(i, word() + r.choice(passage) + word() + r.choice(passage) + r.choice([word(), ""])) for i in range(400)]
+    table = spark.createDataFrame(some, "doc_id long, text string").repartition(7)
+    assert counted(suffix_dedup.digests(table).collect()) == counted(brute_removal(some))
+
+
 def test_suffix_dedup_equals_brute_force(spark, docs, rows):
     r = random.Random(5)
     base = "".join(r.choice("abcdé ") for _ in range(2500))

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 MULT = 0xD6E8FEB86659FD93  # odd: has an inverse modulo 2**64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -53,7 +53,11 @@ SET_ASIDE = 1 << 62
 #: Marks a row that holds many windows, each as doc_id, place and bytes.
 PACKED = 1 << 61
 #: Classes of an anchor beyond which its windows are dealt out, and windows of such a part.
-HOT, PART = 256, 4096
+HOT, PART = 512, 4096
+#: Bytes of text whose runs a task holds at once.
+TOGETHER = 8 << 20
+#: Hot anchors that may be broadcast: 16 MB.
+FEW = 1 << 20
 RECORD = struct.Struct(f"<qq{LENGTH}s")
 RUNS = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
 FOUND = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("key", pa.int64())])
@@ -108,27 +112,38 @@ def together(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(doc[first], size), s - np.repeat(rank[first], size) << 16 | np.minimum(255, np.repeat(e, size) - s) << 8
 
 
+def set_apart(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Runs by class; of those in one class only the first keeps its key, the others are set
+    aside, neighbours together, under keys of their own."""
+    key, kind, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    order = np.lexsort((at, doc, kind, key))
+    key, kind, doc, at = (x[order] for x in (key, kind, doc, at))
+    later = np.zeros(len(key), bool)
+    later[1:] = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1])
+    d, a = together(doc[later], at[later])
+    with np.errstate(over="ignore"):
+        spread = mix(d.view(U64) * U64(0x9E3779B97F4A7C15) + a.view(U64)).view(np.int64)
+    key, kind, doc, at = (np.append(x[~later], y) for x, y in ((key, spread), (kind, np.zeros(len(d), np.int64)), (doc, d), (at, a | SET_ASIDE)))
+    for k in range(0, len(key), 200_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (key, kind, doc, at)], schema=RUNS)
+
+
 def anchored(docs: DataFrame) -> DataFrame:
-    """The runs of all documents. Of runs in one class within a batch only the first keeps
-    its key; the others are set aside, neighbours together, under keys of their own."""
+    """The runs of all documents, repetitions set apart within TOGETHER bytes of text or so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            parts = [runs_in(d, o, ids[i:j]) for i, j, d, o in slices(*strings(b.column("text")))]
-            if not parts:
-                continue
-            key, kind, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((at, doc, kind, key))
-            key, kind, doc, at = (x[order] for x in (key, kind, doc, at))
-            later = np.zeros(len(key), bool)
-            later[1:] = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1])
-            d, a = together(doc[later], at[later])
-            with np.errstate(over="ignore"):
-                spread = mix(d.view(U64) * U64(0x9E3779B97F4A7C15) + a.view(U64)).view(np.int64)
-            key, kind, doc, at = (np.append(x[~later], y) for x, y in ((key, spread), (kind, np.zeros(len(d), np.int64)), (doc, d), (at, a | SET_ASIDE)))
-            for k in range(0, len(key), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (key, kind, doc, at)], schema=RUNS)
+            for i, j, d, o in slices(*strings(b.column("text"))):
+                parts.append(runs_in(d, o, ids[i:j]))
+                size += len(d)
+                if size > TOGETHER:
+                    yield from set_apart(parts)
+                    size = 0
+        if parts:
+            yield from set_apart(parts)
 
     return docs.mapInArrow(run, "key long, class long, doc_id long, at long")
 
@@ -417,8 +432,8 @@ def spans(docs: DataFrame) -> DataFrame:
     runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "doc_id", "at")
     found = written(runs.mapInArrow(told_apart, "doc_id long, at long, key long"), "runs")
     runs = found.filter("key is not null")
-    hot = runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
-    runs = runs.join(hot, "key", "left")
+    hot = written(runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), "hot")
+    runs = runs.join(F.broadcast(hot) if hot.count() <= FEW else hot, "key", "left")  # beyond, a hot key's rows can be split
     wanted = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("wanted"))  # a document's own runs
     context = texts.join(wanted, "doc_id").mapInArrow(contexts, "key long, doc_id long, at long, bytes binary")
     more = context.repartition("key").sortWithinPartitions("key", "doc_id", "at").mapInArrow(compared, "doc_id long, at long, key long")

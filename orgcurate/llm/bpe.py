@@ -7,7 +7,9 @@ and consulted with one vectorised search for all proposed pairs, decides that.
 Only words with a failing pair are merged exactly.
 
 A worker keeps the ids of the pieces between white space that it saw first (at most CACHE of them, short
-ones only); other pieces are encoded anew, all distinct words of a slice at once.
+ones only); other pieces are encoded anew, all distinct words of a slice at once. Pieces, words and
+proposed tokens are found by 64-bit hashes and confirmed by their bytes. Tokens of more than PROPOSED
+letters are never proposed and words of more than LONG bytes are merged at once, with the same results.
 
 Defined results: null and empty texts have no ids; the decoded text of no ids is
 empty; strings of the special tokens become their ids, as the library does.
@@ -158,6 +160,9 @@ class Bpe:
                 h += int(codes[self.bytes[c]]) * pow(MULT, i, 1 << 64)
             sums.append(h & ((1 << 64) - 1) | 1 << 63)
         self.tokens = table_from(np.array(sums, U64), np.array([v for _, v in own]))
+        self.token_codes = np.full((max(self.vocab.values()) + 1, self.longest), -1, np.int16)
+        for k, v in own:
+            self.token_codes[v, : len(k)] = [self.bytes[c] for c in k]
         rank = [(self.vocab[a], self.vocab[b], self.vocab[a + b], r) for (a, b), r in self.ranks.items()]
         a, b, into, r = (np.array(x, np.int64) for x in zip(*rank, strict=True))
         self.merges = table_from(pair_key(a, b), r)
@@ -167,6 +172,7 @@ class Bpe:
         self.final = np.array([self.vocab[c + END] for c in letters])
         self.pair_keys, self.pair_ok = np.zeros(0, U64), np.zeros(0, bool)
         self.known, self.lists = Table(CACHE), Lists("<u4")
+        self.kept_words, self.kept_size = np.zeros((CACHE, SHORT // 8), U64), np.zeros(CACHE, np.uint8)
         order = [self.names.get(i, b"") + b" " for i in range(max(self.names) + 1)]
         self.spelt = Lists("u1")
         self.spelt.extend(np.frombuffer(b"".join(order), np.uint8), np.array([len(x) for x in order]))
@@ -260,7 +266,9 @@ class Bpe:
                 fits = open_[pos[open_] + k <= end[who[open_]]]
                 p = pos[fits]
                 t = self.tokens.get((total[p + k] - total[p]) * down[p] | U64(1 << 63))
-                hit = t >= 0
+                some = np.flatnonzero(t >= 0)
+                hit = np.zeros(len(t), bool)
+                hit[some] = (self.token_codes[t[some], :k] == code[p[some][:, None] + np.arange(k)]).all(1)
                 token[fits[hit]], took[fits[hit]] = t[hit], k
                 open_ = open_[token[open_] < 0]
                 if not len(open_):
@@ -368,7 +376,7 @@ class Bpe:
         up, down = power_pair(len(low))
         with np.errstate(over="ignore"):
             h = mix(np.add.reduceat(self.codes[low] * up[: len(low)], start) * down[start])
-        _, one, back = np.unique(h, return_index=True, return_inverse=True)
+        one, back = distinct(h, low, start, size)
         ids, n = self.words(low[ragged(start[one], size[one])], size[one])
         at = np.cumsum(n) - n
         total = np.concatenate([[0], np.cumsum(n[back])])
@@ -414,10 +422,13 @@ class Bpe:
         w = Words(data, off, CASED, CASED_VALUES) if special else Words(data, off, LUT, VALUES)
         keys = w.h | U64(1 << 63)
         which = self.known.get(keys).astype(np.int64)
+        length = w.end - w.start
+        words = short_words(w.bytes, w.start, length)
+        which[~self.same(which, words, length)] = -1
         lack = np.flatnonzero(which < 0)
         kept = self.lists.n
         if len(lack):
-            new, one, back = np.unique(keys[lack], return_index=True, return_inverse=True)
+            one, back = distinct(keys[lack], w.bytes, w.start[lack], length[lack])
             at = lack[one]
             flat, size = self.spans(data, w.start[at], w.end[at])
             self.lists.extend(flat, size)
@@ -426,13 +437,29 @@ class Bpe:
         total = np.concatenate([[0], np.cumsum(size)])
         if len(lack):
             room = max(0, CACHE - kept)
-            short = np.flatnonzero(w.end[at] - w.start[at] <= SHORT)[:room]
+            short = np.flatnonzero(length[at] <= SHORT)
+            _, first = np.unique(keys[at[short]], return_index=True)  # of pieces with one hash one can be kept
+            short = short[np.sort(first)]
+            short = short[self.known.get(keys[at[short]]) < 0][:room]
             flat, size = self.lists.get(kept + short)
             self.lists.n = kept
             self.lists.extend(flat, size)
-            self.known.put(new[short], kept + np.arange(len(short)))
+            self.known.put(keys[at[short]], kept + np.arange(len(short)))
+            self.kept_size[kept : kept + len(short)] = length[at[short]]
+            for k, x in enumerate(words):
+                self.kept_words[kept : kept + len(short), k] = x[at[short]]
         return ids, np.diff(total[w.first])
 
+    def same(self, which: np.ndarray, words: list[np.ndarray], length: np.ndarray) -> np.ndarray:
+        """Whether the kept pieces have these bytes; words: as of short_words. True where which is -1."""
+        ok = (which < 0) | (self.kept_size[which] == length) & (self.kept_words[which, 0] == words[0])
+        for k in range(1, len(words)):
+            long_ = np.flatnonzero((length > 8 * k) & (which >= 0))
+            if not len(long_):
+                break
+            ok[long_] &= self.kept_words[which[long_], k] == words[k][long_]
+        return ok
+
     def decode(self, ids: np.ndarray, count: np.ndarray) -> list[bytes]:
         """UTF-8 text of each run of ids: this vocabulary has no decoder, so it is the
         tokens' names with a space between."""
@@ -442,6 +469,38 @@ class Bpe:
         return [raw[a : b - 1] if b > a else b"" for a, b in zip(end[:-1].tolist(), end[1:].tolist(), strict=True)]
 
 
+def short_words(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """The first SHORT bytes from each start, as numbers of 8 bytes each, 0 beyond the length."""
+    padded = np.concatenate([data, np.zeros(SHORT, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    out = []
+    for k in range(SHORT // 8):
+        x = np.zeros(len(start), U64)
+        some = np.flatnonzero(length > 8 * k)
+        if len(some):
+            left = np.minimum(8, length[some] - 8 * k).astype(U64)
+            x[some] = eight[start[some] + 8 * k] & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * left))
+        out.append(x)
+    return out
+
+
+def distinct(h: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of distinct strings, the number of each string among them). Strings are found by
+    their hashes h; one whose bytes differ from those of the first with its hash is its own."""
+    _, one, back = np.unique(h, return_index=True, return_inverse=True)
+    first = one[back]
+    bad = size != size[first]
+    again = np.flatnonzero(~bad & (first != np.arange(len(h))))
+    if len(again):
+        n = size[again]
+        differ = data[ragged(start[again], n)] != data[ragged(start[first[again]], n)]
+        bad[again] = np.add.reduceat(differ, np.cumsum(n) - n) > 0
+    odd = np.flatnonzero(bad)
+    back = back.copy()
+    back[odd] = len(one) + np.arange(len(odd))
+    return np.concatenate([one, odd]), back
+
+
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(U64) << U64(20)) | b.astype(U64) | U64(1 << 41)
 

@@ -7,10 +7,15 @@ block there. Where the shift is 0, the block selects a bucket of patterns with
 that last block, and a comparison of the words' bytes confirms an occurrence.
 Every document is scanned in many lanes at once, one numpy step moving all lanes.
 
+A benchmark of at most BLOCK_BYTES is broadcast whole. Of a larger one the shift tables
+alone are, at most `window` tables of 1 MB: tasks build them from their own items and the
+least shifts count. Windows at which the shift is 0 are then joined with the patterns by
+their hash, and their words compared. Either way gives the same rows.
+
 Defined results: null text has no words; a document without words has no hits;
 items without words give no pattern; items shorter than a window are one pattern;
-repeated documents and repeated items are each reported; other columns of
-`documents` are ignored by the query and clash with nothing.
+repeated documents are reported each, repeated items once, by their id; a null item_id
+counts as the empty one; `clean` keeps all columns of its input, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._spark import arrow_type, ship
+from ._spark import arrow_type, ship, written
 from ._text import U64, Words, combine, mix, ragged, slices, strings, table_of
 
 WINDOW = 10
 LANE = 256
-#: Benchmark bytes held by a task at once. A larger benchmark is searched in blocks of items.
+#: Benchmark bytes that are broadcast; a larger benchmark is joined.
 BLOCK_BYTES = 32 << 20
+#: A row's number on the way, under a name that the input's columns will not have.
+ROW = "decontamination row"
 LUT, VALUES = table_of(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128, seed=7)
 BITS = 20
 SCANNED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), ("items", pa.list_(pa.string()))])
@@ -62,26 +69,10 @@ class Patterns:
 
     def find(self, w: Words, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the first word, pattern) of every occurrence in the slice's words."""
-        n, k = np.diff(w.first), self.length
-        lanes = np.where(n >= k, -(-(n - k + 1) // LANE), 0)
-        if not lanes.sum():
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        begin = np.repeat(w.first[:-1], lanes) + ragged(np.zeros(len(lanes), np.int64), lanes) * LANE
-        stop = np.minimum(begin + LANE - 1, np.repeat(w.first[1:] - k, lanes)) + k - 1
-        pos, found = begin + k - 1, []
-        while len(pos):
-            h = self.blocks(*(w.h[pos - j] for j in range(self.block)))
-            step = self.shift[(h >> U64(64 - BITS)).astype(np.int64)].astype(np.int64)
-            hit = step == 0
-            if hit.any():
-                found.append((pos[hit], h[hit]))
-                step[hit] = 1
-            pos = pos + step
-            on = pos <= stop
-            pos, stop = pos[on], stop[on]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pos, h = (np.concatenate(x) for x in zip(*found, strict=True))
+        k = self.length
+        pos, h = stops(w, self.shift, k)
+        if not len(pos):
+            return pos, pos
         bucket = np.searchsorted(self.suffix, h)
         ok = (bucket < len(self.suffix)) & (self.suffix[np.minimum(bucket, len(self.suffix) - 1)] == h)
         pos, bucket = pos[ok] - k + 1, bucket[ok]
@@ -109,6 +100,29 @@ class Patterns:
         return p[~bad], pattern[~bad]
 
 
+def stops(w: Words, shift: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the last word, hash of the last block) of the windows of k words at which
+    the shift is 0; the others are skipped as far as the table allows."""
+    n = np.diff(w.first)
+    lanes = np.where(n >= k, -(-(n - k + 1) // LANE), 0)
+    if not lanes.sum():
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    begin = np.repeat(w.first[:-1], lanes) + ragged(np.zeros(len(lanes), np.int64), lanes) * LANE
+    stop = np.minimum(begin + LANE - 1, np.repeat(w.first[1:] - k, lanes)) + k - 1
+    pos, found = begin + k - 1, []
+    while len(pos):
+        h = Patterns.blocks(*(w.h[pos - j] for j in range(min(2, k))))
+        step = shift[(h >> U64(64 - BITS)).astype(np.int64)].astype(np.int64)
+        hit = step == 0
+        if hit.any():
+            found.append((pos[hit], h[hit]))
+            step[hit] = 1
+        pos = pos + step
+        on = pos <= stop
+        pos, stop = pos[on], stop[on]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, U64))
+
+
 def squeezed(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """The words' bytes without what lies between, and the n + 1 bounds of the words in them."""
     return w.bytes[w.inside], np.concatenate([[0], np.cumsum(w.end - w.start)])
@@ -141,69 +155,144 @@ def runs_of(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)].tolist(), strict=True))
 
 
-def scanned(batch: pa.RecordBatch, blocks: Callable[[], Iterator[tuple[list[Patterns], list[str]]]], schema: pa.Schema, ids: bool = True) -> Iterator[pa.RecordBatch]:
-    data, off = strings(batch.column("text"))
-    cut = []
-    for i, j, part, bounds in slices(data, off):
+def scanned(batch: pa.RecordBatch, tables: list[Patterns], names: list[str], schema: pa.Schema, ids: bool = True) -> Iterator[pa.RecordBatch]:
+    for i, j, part, bounds in slices(*strings(batch.column("text"))):
         w = Words(part, bounds, LUT, VALUES)
-        cut.append((i, j, w, *squeezed(w), [[] for _ in range(j - i)], [set() for _ in range(j - i)]))
-    for tables, names in blocks():
-        for _, _, w, text, at, spans, items in cut:
-            for t in tables:
-                p, k = t.find(w, text, at)
-                row = w.row[p]
-                order = np.argsort(row, kind="stable")
-                for some in np.split(order, np.flatnonzero(np.diff(row[order])) + 1) if len(p) else ():
-                    r = int(row[some[0]])
-                    spans[r].append((p[some] - w.first[r], p[some] - w.first[r] + t.length))
-                    items[r].update(names[x] for x in np.unique(t.items[k[some]]).tolist())
-    for i, j, w, _, _, spans, items in cut:
+        text, at = squeezed(w)
+        spans, items = [[] for _ in range(j - i)], [set() for _ in range(j - i)]
+        for t in tables:
+            p, k = t.find(w, text, at)
+            row = w.row[p]
+            order = np.argsort(row, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(row[order])) + 1) if len(p) else ():
+                r = int(row[some[0]])
+                spans[r].append((p[some] - w.first[r], p[some] - w.first[r] + t.length))
+                items[r].update(names[x] for x in np.unique(t.items[k[some]]).tolist())
         runs = [[{"s": s, "e": e} for s, e in runs_of(*(np.concatenate(y) for y in zip(*x, strict=True)))] if x else [] for x in spans]
         cols = [batch.column("doc_id").slice(i, j - i) if ids else pa.nulls(j - i, pa.int64()), pa.array(np.diff(w.first), pa.int64()), pa.array(runs, schema.field("runs").type), pa.array([sorted(x) for x in items], schema.field("items").type)]
         yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
 
-def item_blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[str, str]]]:
-    """(item_id, text) in blocks of at most about `most` bytes, streamed to the driver."""
-    rows, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator():
-        rows.append((r.i or "", r.text))
-        size += len(r.text or "") + 64
-        if size >= most:
-            yield rows
-            rows, size = [], 0
-    yield rows
+def fits(benchmark: DataFrame, most: int) -> bool:
+    """Whether the benchmark is small enough to be broadcast."""
+    size = benchmark.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0]
+    return (size or 0) <= most
 
 
-def searched(spark, benchmark: DataFrame, window: int, block_bytes: int) -> Callable[[], Callable]:
-    """For a task: a function that gives its way through the tables, block by block."""
-    shared = [spark.sparkContext.broadcast(rows) for rows in item_blocks(benchmark, block_bytes)]  # at most block_bytes each
+def searched(benchmark: DataFrame, window: int) -> Callable[[], tuple[list[Patterns], list[str]]]:
+    """For a task: the tables of a small benchmark and the items' ids."""
+    rows = [(r.i or "", r.text) for r in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").collect()]  # as checked by `fits`
+    shared = benchmark.sparkSession.sparkContext.broadcast(rows)
+    return lambda: (compiled([t for _, t in shared.value], window), [i for i, _ in shared.value])
 
-    def block(b) -> tuple[list[Patterns], list[str]]:
-        return compiled([t for _, t in b.value], window), [i for i, _ in b.value]
 
-    def begin() -> Callable:
-        kept = [block(shared[0])] if len(shared) == 1 else []
-        return lambda: iter(kept) if kept else map(block, shared)
+CELLS = 1 << 16
+PATTERN = "k int, h long, item string, words string"
 
-    return begin
 
+def patterns(benchmark: DataFrame, window: int) -> DataFrame:
+    """k, h, item, words of every pattern of a benchmark of any size, each once."""
+    schema = pa.schema([("k", pa.int32()), ("h", pa.int64()), ("item", pa.string()), ("words", pa.string())])
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: n_words, the disjoint runs of hit words, the ids of the items hit.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, part, bounds in slices(*strings(b.column("text"))):
+                w = Words(part, bounds, LUT, VALUES)
+                text, at = squeezed(w)
+                for k in sorted(set(np.minimum(np.diff(w.first), window).tolist()) - {0}):
+                    n = np.diff(w.first)
+                    pos = ragged(w.first[:-1], np.where(np.minimum(n, window) == k, n - k + 1, 0))
+                    item = [x or "" for x in b.column("i").slice(i, j - i).take(pa.array(w.row[pos])).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), k), pa.int32()), pa.array(combine(w.h, k)[pos].view(np.int64)), pa.array(item, pa.string()), pa.array(spelt(text, at, pos, k), pa.string())], schema=schema)
+
+    return benchmark.select(F.col("item_id").cast("string").alias("i"), "text").mapInArrow(run, PATTERN).distinct()
+
+
+def spelt(text: np.ndarray, at: np.ndarray, pos: np.ndarray, k: int) -> list[str]:
+    """The k words from each place, joined by spaces."""
+    raw, edge = text.tobytes(), at.tolist()
+    return [" ".join(raw[edge[p + x] : edge[p + x + 1]].decode() for x in range(k)) for p in pos.tolist()]
+
+
+def shifts(benchmark: DataFrame, window: int) -> dict[int, np.ndarray]:
+    """The shift table of each pattern length, the least of those that tasks make of their items."""
+    schema = pa.schema([("k", pa.int32()), ("block", pa.int32()), ("cells", pa.binary())])
+
+    def packed(least: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if least:
+            k, block = zip(*least, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(block, pa.int32()), pa.array([x.tobytes() for x in least.values()], pa.binary())], schema=schema)
 
-    A task holds one block of items at a time; all but very large benchmarks are one block.
-    """
-    spark = docs.sparkSession
-    ship(spark)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for t in compiled(b.column("text").to_pylist(), window):
+                for x, cells in enumerate(np.split(t.shift, (1 << BITS) // CELLS)):
+                    least[t.length, x] = np.minimum(least.get((t.length, x), 255), cells)
+        yield from packed(least)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for k, x, raw in zip(*(b.column(c).to_pylist() for c in ("k", "block", "cells")), strict=True):
+                least[k, x] = np.minimum(least.get((k, x), 255), np.frombuffer(raw, np.uint8))
+        yield from packed(least)
+
+    kind = "k int, block int, cells binary"
+    d = benchmark.select("text").mapInArrow(run, kind).withColumn("group", F.spark_partition_id() % 64)
+    d = d.repartition("k", "block", "group").select("k", "block", "cells").mapInArrow(merged, kind).repartition("k", "block").mapInArrow(merged, kind)
+    out: dict[int, np.ndarray] = {}
+    for r in d.collect():  # at most `window` tables of 1 MB
+        out.setdefault(r.k, np.zeros(1 << BITS, np.uint8))[r.block * CELLS : (r.block + 1) * CELLS] = np.frombuffer(r.cells, np.uint8)
+    return out
+
+
+def joined(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """ROW, n_words, runs, items of docs (ROW, text), for a benchmark of any size."""
+    shared = docs.sparkSession.sparkContext.broadcast(shifts(benchmark, window))
+    schema = pa.schema([("row", pa.int64()), ("n_words", pa.int64()), ("k", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("words", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.column(ROW).to_numpy()
+            for i, j, part, bounds in slices(*strings(b.column("text"))):
+                w = Words(part, bounds, LUT, VALUES)
+                text, at = squeezed(w)
+                empty = np.zeros(j - i, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[i:j]), pa.array(np.diff(w.first), pa.int64()), pa.nulls(j - i, pa.int32()), pa.array(empty), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.string())], schema=schema)
+                for k, shift in sorted(shared.value.items()):
+                    pos = stops(w, shift, k)[0] - k + 1
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[i:j][w.row[pos]]), pa.nulls(len(pos), pa.int64()), pa.array(np.full(len(pos), k), pa.int32()), pa.array(combine(w.h, k)[pos].view(np.int64)), pa.array(pos - w.first[w.row[pos]], pa.int32()), pa.array(spelt(text, at, pos, k), pa.string())], schema=schema)
+
+    found = written(docs.select(ROW, "text").mapInArrow(run, "row long, n_words long, k int, h long, at int, words string"), "windows")
+    hits = found.filter("k is not null").join(patterns(benchmark, window), ["k", "h", "words"])
+    by = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("k")).alias("e")))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    step = lambda acc, x: F.when((F.size(acc) > 0) & (x["s"] <= F.element_at(acc, -1)["e"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e"))))).otherwise(F.concat(acc, F.array(x)))
+    runs = F.aggregate(F.coalesce("spans", none), none, step)
+    d = found.filter("k is null").select("row", "n_words").join(by, "row", "left")
+    return d.select(F.col("row").alias(ROW), "n_words", runs.alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with ROW, written, so that the numbers stay."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per document: n_words, the disjoint runs of hit words, the ids of the items hit."""
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
+    if not fits(benchmark, block_bytes):
+        docs = numbered(docs)
+        return docs.select("doc_id", f"`{ROW}`").join(joined(docs, benchmark, window), ROW).drop(ROW)
     schema = SCANNED.set(0, pa.field("doc_id", arrow_type(docs, "doc_id")))
-    blocks = searched(spark, benchmark, window, block_bytes)
+    load = searched(benchmark, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = blocks()
+        tables, names = load()
         for batch in batches:
-            yield from scanned(batch, tables, schema)
+            yield from scanned(batch, tables, names, schema)
 
     return docs.mapInArrow(run, SCAN.format(docs.schema["doc_id"].dataType.simpleString()))
 
@@ -225,13 +314,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no benchmark window occurs, with all their columns, in one pass."""
     ship(docs.sparkSession)
+    if not fits(benchmark, block_bytes):
+        all_ = numbered(docs)
+        hit = joined(all_, benchmark, window).filter(F.size("runs") > 0).select(ROW)
+        return all_.join(hit, ROW, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     schema = to_arrow_schema(docs.schema)
-    blocks = searched(docs.sparkSession, benchmark, window, block_bytes)
+    load = searched(benchmark, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = blocks()
+        tables, names = load()
         for batch in batches:
-            hit = [n > 0 for part in scanned(batch, tables, SCANNED, ids=False) for n in pc.list_value_length(part.column("runs")).to_pylist()]
+            hit = [n > 0 for part in scanned(batch, tables, names, SCANNED, ids=False) for n in pc.list_value_length(part.column("runs")).to_pylist()]
             kept = batch.filter(pc.invert(pa.array(hit, pa.bool_())))
             yield pa.RecordBatch.from_arrays([kept.column(f.name).cast(f.type) for f in schema], schema=schema)
 

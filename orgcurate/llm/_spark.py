@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 _SHIPPED: set[str] = set()
@@ -40,19 +41,43 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='orgcurate-shared-')}"
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the shared folder and read again: cuts lineage,
-    survives lost executors."""
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written as a table in the shared folder and read again, and the table's path."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the shared folder and read again: cuts lineage, survives lost
+    executors. The table stays as long as the folder, since results may be read from it later."""
+    return written_at(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of written_at that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+SPARE = 1.5
+
+
+def lowest(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """The n rows with the lowest hashes of the key. Rows beyond a bound on the hash that the
+    table's size gives, SPARE times what is wanted, are left out by each task, so that few are sorted."""
+    place = F.xxhash64(key)
+    bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, SPARE * n / max(1, df.count())) * (1 << 64)))
+    return df.filter(place <= bound).orderBy(place, key).limit(n)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -535,6 +535,30 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def tokens(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids (array<int>), n_tokens, ids_sha256, decoded_sha256 of every document."""
+    ship(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+    schema = pa.schema([("doc_id", arrow_type(docs, "doc_id")), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(path)
+        for b in batches:
+            for i, j, ids, count in encoded(b, path):
+                off = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(off, pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), lists.cast(schema.field("ids").type), pa.array(count, pa.int64()), *sha256s(bpe, ids, count)], schema=schema)
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def sha256s(bpe: Bpe, ids: np.ndarray, count: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Digests of each row's ids, as 32-bit integers, and of its decoded text."""
+    raw, end = ids.astype("<u4").tobytes(), (np.cumsum(count) * 4).tolist()
+    a = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip([0, *end], end, strict=False)]
+    return pa.array(a, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decode(ids, count)], pa.string())
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids, and digests both."""
     ship(docs.sparkSession)
@@ -545,9 +569,6 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         bpe = encoder(path)
         for b in batches:
             for i, j, ids, count in encoded(b, path):
-                raw, end = ids.astype("<u4").tobytes(), (np.cumsum(count) * 4).tolist()
-                a = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip([0, *end], end, strict=False)]
-                d = [hashlib.sha256(x).hexdigest() for x in bpe.decode(ids, count)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(count, pa.int64()), pa.array(a), pa.array(d)], schema=schema)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(count, pa.int64()), *sha256s(bpe, ids, count)], schema=schema)
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

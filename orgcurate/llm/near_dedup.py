@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import ship, written
+from ._spark import removed, ship, written, written_at
 from ._text import MULT, U64, Words, combine, mix, random_table, slices, strings, table_of
 
 WORDS, THRESHOLD = 5, 0.8
@@ -324,13 +324,14 @@ def components(edges: DataFrame) -> DataFrame:
     rounds go on until nothing changes, each written to the shared folder."""
     both = written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     label = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).select(F.col("a").alias("node"), "root")
-    label = written(label, "labels")
+    label, path = written_at(label, "labels")
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("low"))
         step = label.join(near.withColumnRenamed("a", "node"), "node").select("node", "root", F.least("root", "low").alias("low"))
         up = label.select(F.col("node").alias("low"), F.col("root").alias("up"))
-        step = written(step.join(up, "low").select("node", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved")), "labels")
-        label = step.select("node", "root")
+        step, new = written_at(step.join(up, "low").select("node", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved")), "labels")
+        removed(edges.sparkSession, path)  # the round before
+        label, path = step.select("node", "root"), new
         if not step.filter("moved").limit(1).count():
             return label
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import arrow_type, ship
+from ._spark import arrow_type, lowest, ship
 from ._text import U64, Words, mix, slices, strings, table_of
 
 #: At most so many labelled rows, of either label half at most, those with the lowest hash of the id.
@@ -197,7 +197,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> list[tupl
     the bounds of rows and characters, whose lengths come to the driver before any text."""
     lab = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     lab = lab.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    parts = [lab.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for v in (1, 0)]
+    parts = [lowest(lab.filter(F.col("toxic") == v), sample // 2) for v in (1, 0)]
     ids = parts[0].unionByName(parts[1])
     own = docs.filter(F.coalesce("text", F.lit("")) != "").join(F.broadcast(ids), "doc_id")  # at most `sample` ids
     sizes = own.groupBy("doc_id", "toxic").agg(F.length(F.min("text")).alias("size")).withColumn("place", F.xxhash64("doc_id")).collect()

@@ -7,6 +7,7 @@ hashes are 64 bits, seeded by fixed constants, and the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -69,6 +70,23 @@ def slices(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> Iterat
         j = min(j, n)
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
+    trim()
+
+
+@lru_cache(maxsize=1)
+def _allocator():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+def trim() -> None:
+    """Gives memory that whole-array steps have freed back to the system: a worker is reused by
+    many tasks, and would else keep what the largest of them took."""
+    pa.default_memory_pool().release_unused()
+    if _allocator():
+        _allocator()(0)
 
 
 class Words:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._spark import ship, written
-from ._text import U64, mix, power_pair, ragged, random_table, slices, strings
+from ._text import U64, mix, power_pair, ragged, random_table, slices, strings, trim
 
 LENGTH, GRAM, SHALLOW = 100, 32, 40
 #: Columns added to the documents on the way, under names that theirs will not have.
@@ -379,6 +379,15 @@ def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, text: np.ndarray,
     return (np.concatenate(out_doc), np.concatenate(out_at)) if out_doc else (doc[:0], at[:0])
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of about `most` bytes, since comparing takes many times that."""
+    for b in batches:
+        rows = max(1, len(b) * most // max(1, b.nbytes))
+        for k in range(0, len(b), rows):
+            yield b.slice(k, rows)
+    trim()
+
+
 def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows to remove, from runs with their bytes in the order of their keys."""
     held: list[pa.RecordBatch] = []
@@ -397,15 +406,15 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, at = together(doc, at)
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), pa.nulls(len(doc), pa.int64())], schema=FOUND)
 
-    for b in batches:
-        b, done = unpacked(b)  # noqa: PLW2901
+    for piece in pieces(batches, 1 << 20):
+        b, done = unpacked(piece)
         if done is not None:
             yield done
         if not len(b):
             continue
         held.append(b)
         size += b.nbytes
-        if size > 8 << 20:  # all but the last key, which may go on
+        if size > 2 << 20:  # all but the last key, which may go on
             t = pa.Table.from_batches(held)
             key = t.column("key").to_numpy()
             cut = int(np.searchsorted(key, key[-1]))

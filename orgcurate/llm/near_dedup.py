@@ -241,8 +241,8 @@ def weighted(column: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def only(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of these doc_ids (a written table). At most FEW ids are broadcast, so that no
-    other row is moved; more are joined."""
+    """The rows of these doc_ids. At most FEW ids are broadcast, so that no other row is moved;
+    more are joined."""
     return df.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_semi")
 
 
@@ -346,13 +346,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     firsts = signed.filter("doc_id is not null").groupBy("print").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("doc_id"))
     firsts = written(firsts.select("print", "doc_id", "keys"), "firsts")
     pairs = written(candidates(firsts.select("doc_id", "keys")), "pairs")
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")  # every text that shares a bucket
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()  # every text that shares a bucket
     texts = written(only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids), "texts")  # later joins move no others
     found = written(links(pairs, texts, idf, threshold), "links")
     roots = components(found).withColumnRenamed("node", "doc_id")
     labelled = written(firsts.join(roots, "doc_id", "left").select("print", "doc_id", F.coalesce("root", "doc_id").alias("root"), "keys"), "labelled")
     rows = written(mixed(only(labelled, ids), 3), "mixed")  # the first pass has tested the pair of a bucket of two
-    texts = written(only(texts, written(rows.select("doc_id").distinct(), "ids")), "texts")
+    texts = written(only(texts, rows.select("doc_id").distinct()), "texts")
     few = blocks(rows.filter(F.col("n") <= BLOCK))
     near = links_within(few, labelled, texts, idf, threshold)
     crowd = texts.join(rows.filter(F.col("n") > BLOCK).select("doc_id").distinct(), "doc_id", "left_semi")

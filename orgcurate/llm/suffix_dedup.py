@@ -441,8 +441,8 @@ def spans(docs: DataFrame) -> DataFrame:
     runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "doc_id", "at")
     found = written(runs.mapInArrow(told_apart, "doc_id long, at long, key long"), "runs")
     runs = found.filter("key is not null")
-    hot = written(runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), "hot")
-    runs = runs.join(F.broadcast(hot) if hot.count() <= FEW else hot, "key", "left")  # beyond, a hot key's rows can be split
+    hot = runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
+    runs = runs.join(F.broadcast(hot) if hot.count() <= FEW else written(hot, "hot"), "key", "left")  # a hot key's rows can be split
     wanted = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("wanted"))  # a document's own runs
     context = texts.join(wanted, "doc_id").mapInArrow(contexts, "key long, doc_id long, at long, bytes binary")
     more = context.repartition("key").sortWithinPartitions("key", "doc_id", "at").mapInArrow(compared, "doc_id long, at long, key long")

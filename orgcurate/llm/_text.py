@@ -61,16 +61,17 @@ def strings(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def slices(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES, keep: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of about `most` bytes;
-    a row longer than that is a slice of its own."""
+    a row longer than that is a slice of its own. Freed memory is given back at the end unless `keep`."""
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + most, side="right")) - 1)
         j = min(j, n)
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
-    trim()
+    if not keep:
+        trim()
 
 
 @lru_cache(maxsize=1)

@@ -514,7 +514,7 @@ def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, int, np.nda
     """(first row, end row, ids, their number in each row) of slices of a batch."""
     bpe = encoder(path)
     data, off = strings(batch.column("text"))
-    for i, j, part, bounds in slices(data, off):
+    for i, j, part, bounds in slices(data, off, keep=True):
         yield i, j, *bpe.encode(part, bounds)
 
 

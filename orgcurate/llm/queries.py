@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
+from . import bpe, concurrency, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
 from ._spark import table
 
 
@@ -58,6 +58,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"))
 
 
+def op11_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concurrency.peaks(*(table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clients")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_license": op9_license,
     "op10_urls": op10_urls,
+    "op11_concurrency": op11_concurrency,
 }
 
 SQL: dict[str, str] = {
@@ -83,4 +88,14 @@ SQL: dict[str, str] = {
         SELECT w.doc_id, CAST(coalesce(len(a), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)
     """,
+    "op11_concurrency": r"""
+        WITH e AS (SELECT sale_id, epoch(date_trunc('minute', max(shipped_at)))::BIGINT + 604800 AS end_s FROM sale_lines GROUP BY sale_id),
+        c AS (SELECT client_id, min(nation_id) AS nation_id FROM clients GROUP BY client_id),
+        s AS (SELECT coalesce(nation_id, -1) AS nation_id, epoch(date_trunc('minute', sold_at))::BIGINT AS start_s, end_s, coalesce(floor(100 * total + 0.5), 0)::BIGINT AS cents
+            FROM sales LEFT JOIN e USING (sale_id) LEFT JOIN c USING (client_id) WHERE sold_at IS NOT NULL),
+        b AS (SELECT nation_id, start_s, end_s, cents FROM s WHERE end_s IS NULL OR end_s > start_s UNION ALL SELECT -2, start_s, end_s, cents FROM s WHERE end_s IS NULL OR end_s > start_s),
+        d AS (SELECT nation_id, t, sum(n) AS n, sum(v) AS v FROM (SELECT nation_id, start_s AS t, 1 AS n, cents AS v FROM b UNION ALL SELECT nation_id, end_s, -1, -cents FROM b WHERE end_s IS NOT NULL) GROUP BY ALL HAVING sum(n) <> 0 OR sum(v) <> 0),
+        o AS (SELECT nation_id, t, sum(n) OVER w AS n_open, sum(v) OVER w AS open_cents, lead(t) OVER w AS to_s FROM d WINDOW w AS (PARTITION BY nation_id ORDER BY t))
+        SELECT nation_id, t AS from_s, to_s, n_open::BIGINT AS n_open, open_cents::BIGINT AS open_cents, max(n_open) OVER (PARTITION BY nation_id ORDER BY t)::BIGINT AS high_open, n_open = max(n_open) OVER (PARTITION BY nation_id) AS is_peak FROM o
+    """,
 }

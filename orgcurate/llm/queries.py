@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, concurrency, decontaminate, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
+from . import bpe, concurrency, decontaminate, exact_dedup, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
 from ._spark import table
 
 
@@ -62,6 +62,10 @@ def op11_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concurrency.peaks(*(table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clients")))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license": op9_license,
     "op10_urls": op10_urls,
     "op11_concurrency": op11_concurrency,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -98,4 +103,9 @@ SQL: dict[str, str] = {
         o AS (SELECT nation_id, t, sum(n) OVER w AS n_open, sum(v) OVER w AS open_cents, lead(t) OVER w AS to_s FROM d WINDOW w AS (PARTITION BY nation_id ORDER BY t))
         SELECT nation_id, t AS from_s, to_s, n_open::BIGINT AS n_open, open_cents::BIGINT AS open_cents, max(n_open) OVER (PARTITION BY nation_id ORDER BY t)::BIGINT AS high_open, n_open = max(n_open) OVER (PARTITION BY nation_id) AS is_peak FROM o
     """,
+    "op12_exact_dedup": r"""
+        WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
+    """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, concurrency, decontaminate, exact_dedup, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
+from . import bpe, concurrency, decontaminate, exact_dedup, filter_audit, html, license, near_dedup, quality, suffix_dedup, tokenstore, toxicity, urls
 from ._spark import table
 
 
@@ -66,6 +66,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_urls": op10_urls,
     "op11_concurrency": op11_concurrency,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
@@ -108,4 +113,16 @@ SQL: dict[str, str] = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
     """,
+    "op13_filter_audit": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+        l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {'A': len(a) < 100, 'B': 100 * len(list_distinct(a)) < 80 * len(a), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), 'D': regexp_matches(t, '[#$%&*|]'), 'E': doc_id > min(doc_id) OVER (PARTITION BY t)} AS m
+            FROM w LEFT JOIN l USING (doc_id)),
+        p AS (SELECT '' AS o UNION ALL SELECT o || x FROM p, unnest(['A', 'B', 'C', 'D', 'E']) t(x) WHERE NOT contains(o, x)),
+        g AS (SELECT part, good, toxic, m, list_sum(list_transform(map_values(m), lambda v: v::INT)) AS n_fails, count(*) AS n FROM f GROUP BY ALL),
+        s AS (SELECT g.*, o, k, m[o[k]] AS fails, coalesce(list_min(list_filter([1, 2, 3, 4, 5], lambda j: m[o[j]])), 6) AS first FROM g, (SELECT o FROM p WHERE length(o) = 5), unnest([1, 2, 3, 4, 5]) u(k)),
+        c AS (SELECT part, o AS filter_order, k AS step, sum(n * (first > k)::INT) AS kept, sum(n * (first = k)::INT) AS removed, sum(n * (fails AND first < k)::INT) AS redundant, sum(n * (fails AND n_fails = 1)::INT) AS unique_fails,
+            sum(n * (first = k AND good)::INT) AS good_lost, sum(n * (first = k AND toxic)::INT) AS toxic_lost FROM s GROUP BY ALL)
+        SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, sum(removed) OVER (PARTITION BY part, filter_order[step])::BIGINT AS shapley FROM c
+    """,
 }

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ._spark import arrow_type, ship, written
 
 FILTERS = "ABCDE"
+TASK_DOCS = 50_000  # narrow rows that one task multiplies by 600
 MANY_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 100, 80, 10
 UPPER, MARKS = bytes(range(65, 91)), b"#$%&*|"
 COPY = 1 << FILTERS.index("E")
@@ -73,8 +74,10 @@ def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     f = written(features(docs), "features")
     first = written(f.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("first_id")), "first-copies")
     marks = written(labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic")), "marks")
+    tasks = f.count() // TASK_DOCS + 1
     f = f.join(first, ["sha", "n_bytes"], "left").withColumn("flags", F.col("flags") + F.when(F.col("first_id") < F.col("doc_id"), COPY).otherwise(0))
-    return f.join(marks, "doc_id", "left").select("part", "flags", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
+    f = f.join(marks, "doc_id", "left").select("part", "flags", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
+    return f.repartition(tasks)
 
 
 def orders(docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import query, read
-from .operators import deepdiff
+from .operators import deepdiff, detection, history, languages
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
 # and `cents` hold what each source said last.
@@ -50,3 +50,43 @@ FIELD = "CASE WHEN a IS NULL OR b IS NULL THEN 'type_change' ELSE 'value_change'
 def deep_diff_paths(spark, sf_dir):  # O4 O7: each client's state on the first of March against its last one
     c = read(spark, sf_dir, "client_changes")
     return deepdiff.deep_diff(states(c, "valid_at < timestamp_ntz '2024-03-01'"), states(c, "true"), "client_id")
+
+
+WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}]+'), lambda w: w <> '')"
+SUMS = "sum(w) FILTER (kind = 'gram') AS g, coalesce(sum(w) FILTER (kind = 'sign'), 0) AS s"
+
+
+@query(rf"""
+    WITH d AS (SELECT lang, text FROM documents WHERE doc_id % 3 <> 1 AND lang IS NOT NULL AND text IS NOT NULL),
+    m AS (SELECT lang, count(*) AS docs FROM d GROUP BY lang),
+    dw AS (SELECT row_number() OVER () AS k, lang, {WORDS.format("text")} AS w FROM d),
+    n AS (SELECT DISTINCT source, unnest(string_split(text, chr(10))) AS name FROM documents),
+    t AS (SELECT * FROM n WHERE name IS NOT NULL AND NOT contains(name, '*')),
+    nw AS (SELECT name, {WORDS.format("name")} AS w FROM (SELECT DISTINCT name FROM t)),
+    gd AS (SELECT lang, x[i : i + 2] AS token FROM (SELECT lang, ' ' || array_to_string(w, ' ') || ' ' AS x FROM dw), unnest(generate_series(1, length(x) - 2)) u(i)),
+    gn AS (SELECT name, x[i : i + 2] AS token FROM (SELECT name, ' ' || array_to_string(w, ' ') || ' ' AS x FROM nw), unnest(generate_series(1, length(x) - 2)) u(i)),
+    sd AS (SELECT DISTINCT k, lang, unnest(list_concat(w, list_transform(list_filter(string_split(array_to_string(w, ''), ''), lambda c: c <> '' AND NOT (c >= 'a' AND c <= 'z')), lambda c: 'letter ' || c))) AS token FROM dw),
+    sn AS (SELECT DISTINCT name, unnest(list_concat(w, list_transform(list_filter(string_split(array_to_string(w, ''), ''), lambda c: c <> '' AND NOT (c >= 'a' AND c <= 'z')), lambda c: 'letter ' || c))) AS token FROM nw),
+    gc AS (SELECT token, lang, count(*) AS n FROM gd GROUP BY ALL),
+    top AS (SELECT token, sum(n) AS n FROM gc GROUP BY token ORDER BY n DESC, token LIMIT 50000),
+    v AS (SELECT count(DISTINCT token) AS v FROM gc),
+    base AS (SELECT lang, round(ln(n + v + 1) * 10000)::BIGINT AS base FROM (SELECT lang, sum(n) AS n FROM gc GROUP BY lang), v),
+    gw AS (SELECT lang, token, round(ln(coalesce(n, 0) + 1) * 10000)::BIGINT AS w FROM (SELECT lang, top.token FROM top, m) LEFT JOIN gc USING (lang, token)),
+    sw AS (SELECT lang, token, round(10000.0 / count(*) OVER (PARTITION BY token))::BIGINT AS w FROM (SELECT lang, token, count(*) AS n FROM sd GROUP BY ALL) JOIN m USING (lang) WHERE n >= 0.5 * docs),
+    g AS (SELECT name, b.lang, sum(coalesce(w, 0) - base) AS g FROM gn CROSS JOIN base b LEFT JOIN gw ON gw.token = gn.token AND gw.lang = b.lang GROUP BY ALL),
+    s AS (SELECT name, lang, sum(w) AS s FROM sn JOIN sw USING (token) GROUP BY ALL),
+    o AS (SELECT *, exp((g - max(g) OVER (PARTITION BY name)) / 10000.0) AS e FROM g),
+    a AS (SELECT name, lang, e / sum(e) OVER (PARTITION BY name) AS score, row_number() OVER (PARTITION BY name ORDER BY g DESC, lang) AS r FROM o),
+    b AS (SELECT name, lang, s / sum(s) OVER (PARTITION BY name) AS score, row_number() OVER (PARTITION BY name ORDER BY s DESC, lang) AS r FROM s),
+    c AS (SELECT source, lang FROM (SELECT source, lang, count(*) AS n, sum(count(*)) OVER (PARTITION BY source) AS total FROM documents WHERE lang IS NOT NULL GROUP BY source, lang) WHERE n >= 0.1 * total UNION SELECT source, 'en' FROM documents WHERE lang IS NOT NULL),
+    k AS (SELECT source, t.name, a.lang, a.r, a.score, b.r AS rb, b.score AS sb, 0 AS side FROM t JOIN a ON a.name = t.name AND a.score > 0 LEFT JOIN b ON b.name = a.name AND b.lang = a.lang
+        UNION ALL SELECT source, t.name, b.lang, NULL, NULL, b.r, b.score, 1 FROM t JOIN b ON b.name = t.name),
+    p AS (SELECT k.*, c.lang IS NOT NULL AS common, CASE WHEN side = 0 AND r = 1 AND rb = 1 THEN 0 WHEN side = 0 AND score + sb >= 0.5 AND (c.lang IS NOT NULL OR k.lang = 'en') THEN 1 WHEN side = 0 AND c.lang IS NOT NULL THEN 2 WHEN side = 1 AND c.lang IS NOT NULL THEN 3 END AS step FROM k LEFT JOIN c ON c.source = k.source AND c.lang = k.lang),
+    f AS (SELECT source, name, arg_min(lang, (step, coalesce(r, rb))) FILTER (step IS NOT NULL) AS lang, bool_or(side = 1) AS signed FROM p GROUP BY ALL)
+    SELECT source, name, lang AS detected_language, name || '*' || lang AS name_w_lang FROM f WHERE signed AND lang IS NOT NULL""")
+def tagged_names(spark, sf_dir):  # X29 X30: the lines of all documents, with what two thirds of the documents teach
+    d = read(spark, sf_dir, "documents")
+    model = detection.learnt(history.stable_sample(d.filter("doc_id % 3 <> 1"), "doc_id", 50_000), "text", "lang")
+    common = languages.common(d, "source", "lang").groupBy(F.col("source").alias("place")).agg(F.collect_list("lang").alias("langs"))
+    names = d.select("source", F.explode(F.split("text", "\n")).alias("name")).distinct()
+    return detection.tagged(names, model, common, "source").select("source", "name", "detected_language", "name_w_lang")

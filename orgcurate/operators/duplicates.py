@@ -1,7 +1,6 @@
 """Duplicate searches between records.
 
-Every search is an equi join on a computed key; name searches join on shared q-grams
-first and score only pairs that can reach the threshold.
+Every search is an equi join on a computed key; names are searched by `names.similar_names`.
 """
 
 from __future__ import annotations
@@ -9,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import similarity, text, vectorised
+from ..functions import text
+from .names import similar_names  # noqa: F401  also a public name of this module
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -44,42 +44,6 @@ def within(df: DataFrame, key: str, order: str) -> DataFrame:
     return rows.select(key, F.col(order).alias("second")).join(first, key).filter(F.col("second") > F.col("first")).select(key, "first", "second")
 
 
-def similar_names(left: DataFrame, right: DataFrame | None, name: str, threshold: int = 85, q: int = 2, also: Column | None = None) -> DataFrame:
-    """(name_a, name_b, score) of distinct names at or above the threshold.
-
-    With right None the pairs are within left, name_a < name_b. Candidates share a rare
-    q-gram: two names that reach the threshold differ in at most d letters, each of which
-    spoils q grams at most, so of the d * q + 1 rarest grams of either, one is shared.
-    Blocking on those prefixes loses no pair. `left` and `right` may have a `block`
-    column, which must be equal (a country).
-    """
-    blocked = "block" in left.columns
-
-    def prepared(df: DataFrame, to: str) -> DataFrame:
-        d = df.select(F.col(name).alias("n"), *(["block"] if blocked else [])).distinct()
-        return d.filter("n is not null").select(F.col("n").alias(to), *(["block"] if blocked else []), similarity.grams(F.col("n"), q).alias("grams"))
-
-    a = prepared(left, "name_a")
-    b = prepared(left if right is None else right, "name_b")
-    counts = a.select(F.explode("grams").alias("g")).unionByName(b.select(F.explode("grams").alias("g"))).groupBy("g").agg(F.count("*").alias("many"))
-    slack = 1 - (threshold - 0.5) / 100
-
-    def prefixes(d: DataFrame, col: str) -> DataFrame:
-        # A letter of this name without a partner spoils q grams, one of the other q - 1. Most are
-        # spoilt where this is the longer name and all its surplus has no partner.
-        most = F.floor(q * slack * 2 / (1 + slack) * F.length(col) + 1e-9).cast("int") + 1
-        rows = d.select(col, *(["block"] if blocked else []), most.alias("most"), F.explode("grams").alias("g")).join(counts, "g")
-        w = Window.partitionBy(col, *(["block"] if blocked else [])).orderBy("many", "g")
-        return rows.withColumn("rank", F.row_number().over(w)).filter("rank <= most").select(col, *(["block"] if blocked else []), "g")
-
-    on = ["g", "block"] if blocked else ["g"]
-    pairs = prefixes(a, "name_a").join(prefixes(b, "name_b"), on).select("name_a", "name_b", *(["block"] if blocked else [])).distinct()
-    pairs = pairs.filter(F.col("name_a") < F.col("name_b")) if right is None else pairs
-    pairs = pairs.filter(similarity.may_reach(F.col("name_a"), F.col("name_b"), threshold))
-    scored = pairs.withColumn("score", vectorised.name_ratio(F.col("name_a"), F.col("name_b")))
-    return scored.filter(F.col("score") >= threshold)
-
-
 def in_release(records: DataFrame, threshold: int = 85, countries: bool = False) -> DataFrame:
     """First, second, match_type, name1, name2, score of records of one release that
     share a host or have similar names.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import query, read
-from .operators import deepdiff, detection, history, languages
+from .operators import deepdiff, detection, history, languages, updates
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
 # and `cents` hold what each source said last.
@@ -90,3 +90,23 @@ def tagged_names(spark, sf_dir):  # X29 X30: the lines of all documents, with wh
     common = languages.common(d, "source", "lang").groupBy(F.col("source").alias("place")).agg(F.collect_list("lang").alias("langs"))
     names = d.select("source", F.explode(F.split("text", "\n")).alias("name")).distinct()
     return detection.tagged(names, model, common, "source").select("source", "name", "detected_language", "name_w_lang")
+
+
+OPS = "CASE op WHEN 'I' THEN 'add' WHEN 'U' THEN 'replace' ELSE 'delete' END"
+STEP = """CASE WHEN u.op = 'add' THEN {{'v': list_append(acc.v, u.value), 'e': acc.e}} WHEN u.op = 'replace' THEN {{'v': [u.value], 'e': acc.e}}
+    WHEN list_contains(acc.v, u.value) THEN {{'v': acc.v[: list_position(acc.v, u.value) - 1] || acc.v[list_position(acc.v, u.value) + 1 :], 'e': acc.e}} ELSE {{'v': acc.v, 'e': list_append(acc.e, 'delete {f} ' || u.value)}} END"""
+
+
+@query(rf"""
+    WITH u AS (SELECT client_id AS id, change_id, {OPS} AS op, segment, city FROM client_changes WHERE client_id IS NOT NULL AND change_id IS NOT NULL),
+    l AS (SELECT id, list({{'op': op, 'value': city}} ORDER BY change_id) FILTER (city IS NOT NULL) AS cities, arg_max(segment, change_id) FILTER (segment IS NOT NULL) AS segment FROM u GROUP BY id),
+    f AS (SELECT c.client_id AS id, coalesce(l.segment, c.segment) AS status, list_reduce(coalesce(cities, []), lambda acc, u: {STEP.format(f="aliases")}, {{'v': CASE WHEN c.city IS NULL THEN CAST([] AS VARCHAR[]) ELSE [c.city] END, 'e': CAST([] AS VARCHAR[])}}) AS a FROM clients c LEFT JOIN l ON l.id = c.client_id)
+    SELECT id, status, array_to_string(a.v, '|') AS aliases, array_to_string(a.e, '|') AS errors FROM f""")
+def apply_record_updates(spark, sf_dir):  # G7: every client's changes, in order, on its record
+    c, u = read(spark, sf_dir, "clients"), read(spark, sf_dir, "client_changes")
+    records = c.select(F.col("client_id").alias("id"), F.col("segment").alias("status"), F.when(F.col("city").isNull(), F.array().cast("array<string>")).otherwise(F.array("city")).alias("aliases"))
+    op = F.when(F.col("op") == "I", "add").when(F.col("op") == "U", "replace").otherwise("delete")
+    each = F.inline(F.array(F.struct(F.lit("status").alias("field"), F.col("segment").alias("value")), F.struct(F.lit("aliases").alias("field"), F.col("city").alias("value"))))
+    u = u.filter("change_id is not null").select(F.col("client_id").alias("id"), F.col("change_id").alias("position"), op.alias("op"), each).filter("value is not null")
+    done = updates.apply_updates(records, u, {}).join(records.select("id"), "id", "left_semi")
+    return done.select("id", "status", F.array_join("aliases", "|").alias("aliases"), F.array_join("errors", "|").alias("errors"))

@@ -65,18 +65,20 @@ def learnt(labelled: DataFrame, text: str, lang: str, grams: int = GRAMS, signs_
     found = d.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     many = {r.lang: r.n for r in sorted(found, key=lambda r: r.lang)}
     names = list(many)
+    if not names:
+        return Model([], d.sparkSession.createDataFrame([], "kind string, token string"), [])
 
     def counts(tokens: Column) -> DataFrame:
         t = d.select("lang", F.explode(tokens).alias("token"))
         return t.groupBy("token").agg(*(F.count_if(F.col("lang") == n).alias(f"n{i}") for i, n in enumerate(names)))
 
-    total = reduce(lambda a, b: a + b, (F.col(f"n{i}") for i in range(len(names)))) if names else F.lit(0)
+    total = reduce(lambda a, b: a + b, (F.col(f"n{i}") for i in range(len(names))))
     g, s = counts(trigrams(F.col("text"))), counts(signs(F.col("text")))
     size = g.agg(F.count("*").alias("v"), *(F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names)))).first()  # one row
-    base = g.sparkSession.range(1).select(*(F.round(F.log(F.lit((size[f"n{i}"] or 0) + size["v"] + 1)) * UNIT).cast("long") for i in range(len(names)))).first() if names else ()
+    base = g.sparkSession.range(1).select(*(F.round(F.log(F.lit((size[f"n{i}"] or 0) + size["v"] + 1)) * UNIT).cast("long") for i in range(len(names)))).first()
     g = g.orderBy(total.desc(), "token").limit(grams).select(F.lit("gram").alias("kind"), "token", *(F.round(F.log(F.col(f"n{i}") + 1) * UNIT).cast("long").alias(f"w{i}") for i in range(len(names))))
     typical = [F.col(f"n{i}") >= SHARE * many[n] for i, n in enumerate(names)]
-    of = reduce(lambda a, b: a + b, (t.cast("int") for t in typical)) if names else F.lit(0)
+    of = reduce(lambda a, b: a + b, (t.cast("int") for t in typical))
     s = s.withColumn("of", of).filter("of > 0").orderBy(total.desc(), "token").limit(signs_kept).select(F.lit("sign").alias("kind"), "token", *(F.when(t, F.round(UNIT / F.col("of"))).otherwise(0).cast("long").alias(f"w{i}") for i, t in enumerate(typical)))
     return Model(names, g.unionByName(s), list(base))
 

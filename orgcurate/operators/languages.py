@@ -1,4 +1,4 @@
-"""Language profiles and priorities."""
+"""Language profiles and priorities."""
 
 from __future__ import annotations
 
@@ -32,13 +32,6 @@ def priority(count: Column, high: int = 100, low: int = 1, update: Column | None
     return F.when(count >= high, "P1").when(middle, "P2").otherwise("P3")
 
 
-def decided(scores_a: Column, scores_b: Column, common_list: Column, least: float = 0.5) -> Column:
-    """The language on which two detectors agree best. Arguments are arrays of
-    (lang, score) and the languages common in the place; those win ties of one detector."""
-    joint = F.filter(F.transform(scores_a, lambda a: F.struct((a["score"] + F.coalesce(F.get(F.filter(scores_b, lambda b: b["lang"] == a["lang"]), F.lit(0))["score"], F.lit(0.0)) + F.when(F.array_contains(common_list, a["lang"]), 0.25).otherwise(0.0)).alias("score"), a["lang"].alias("lang"))), lambda x: x["score"] >= least)
-    return F.try_element_at(F.sort_array(joint, asc=False), F.lit(1))["lang"]
-
-
 def relabelled_names(records: DataFrame, given: DataFrame) -> DataFrame:
     """Names with the language that was given for their record and value, the last one
     where there are several. records: id, names. given: id, name, lang, position."""

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from orgcurate.operators import duplicates, fields, history, integrity, languages, relations, reshape
+from orgcurate.operators import duplicates, fields, history, integrity, relations, reshape
 from orgcurate.plans import validators
 from orgcurate.schema import CURATION, V2
 from orgcurate.sources import files
@@ -185,11 +185,6 @@ def test_fold_reports_deletes_of_absent_values(spark):
     assert (r["list"], r.errors) == (["b", "c"], ["delete x"])
 
 
-def test_decision_rule(spark):
-    d = spark.sql("select array(struct('fr' lang, 0.4D score), struct('en' lang, 0.45D score)) a, array(struct('fr' lang, 0.5D score)) b, array('fr') c")
-    assert d.select(languages.decided(F.col("a"), F.col("b"), F.col("c")).alias("x")).first().x == "fr"
-
-
 def test_display_name_and_leaves(spark, dump):
     one = dump.limit(1).drop("file")
     assert one.select(reshape.display_name(F.col("names")).alias("n")).first().n == "Lakeside Institute"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .catalog import query, read
 from .operators import deepdiff, detection, history, languages, updates
+from .sources import scratch, versions
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
 # and `cents` hold what each source said last.
@@ -110,3 +113,17 @@ def apply_record_updates(spark, sf_dir):  # G7: every client's changes, in order
     u = u.filter("change_id is not null").select(F.col("client_id").alias("id"), F.col("change_id").alias("position"), op.alias("op"), each).filter("value is not null")
     done = updates.apply_updates(records, u, {}).join(records.select("id"), "id", "left_semi")
     return done.select("id", "status", F.array_join("aliases", "|").alias("aliases"), F.array_join("errors", "|").alias("errors"))
+
+
+@query("""
+    WITH l AS (SELECT client_id, arg_max(segment, change_id) FILTER (segment IS NOT NULL) AS segment, arg_max(city, change_id) FILTER (city IS NOT NULL) AS city FROM client_changes WHERE op <> 'D' AND client_id IS NOT NULL AND change_id IS NOT NULL GROUP BY client_id),
+    n AS (SELECT * FROM clients ANTI JOIN l USING (client_id))
+    SELECT 1 AS version, client_id, segment, city FROM clients UNION ALL SELECT 2, client_id, segment, city FROM n UNION ALL SELECT 2, client_id, segment, city FROM l""")
+def record_versions(spark, sf_dir):  # K8 O1: clients as they were, and with their last changes, from two versions of one table
+    path = f"{scratch.folder(spark)}/versions-{uuid.uuid4().hex}"
+    versions.write_version(read(spark, sf_dir, "clients").select("client_id", "segment", "city"), path)
+    u = read(spark, sf_dir, "client_changes").filter("op <> 'D' AND client_id IS NOT NULL AND change_id IS NOT NULL")
+    changed = u.groupBy("client_id").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("change_id"))).alias(c) for c in ("segment", "city")))
+    versions.update(spark, path, changed, "client_id")
+    both = [versions.read_version(spark, path, v).select(F.lit(v).alias("version"), "*") for v in versions.versions(spark, path)]
+    return both[0].unionByName(both[1])

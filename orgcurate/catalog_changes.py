@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from .catalog import query, read
-from .operators import deepdiff, detection, history, languages, updates
+from .catalog import EDGE, line_edges, query, read
+from .operators import deepdiff, detection, history, languages, places, relations, updates
 from .sources import scratch, versions
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
@@ -127,3 +127,49 @@ def record_versions(spark, sf_dir):  # K8 O1: clients as they were, and with the
     versions.update(spark, path, changed, "client_id")
     both = [versions.read_version(spark, path, v).select(F.lit(v).alias("version"), "*") for v in versions.versions(spark, path)]
     return both[0].unionByName(both[1])
+
+
+ANSWERS = "SELECT client_id, city, CASE WHEN city IS NULL THEN 'no answer from ' || source END AS error, change_id FROM client_changes WHERE client_id IS NOT NULL AND change_id IS NOT NULL AND source IS NOT NULL"
+
+
+@query(f"""
+    WITH a AS ({ANSWERS}), g AS (SELECT client_id, arg_min(city, change_id) FILTER (city IS NOT NULL) AS city, min(change_id) FILTER (city IS NOT NULL) AS known_at, max(change_id) FILTER (city IS NULL) AS bad, arg_max(error, change_id) FILTER (city IS NULL) AS error FROM a GROUP BY client_id)
+    SELECT client_id, city, CASE WHEN city IS NULL THEN error END AS error, coalesce(known_at, bad) AS change_id, false AS to_ask FROM g WHERE city IS NOT NULL
+    UNION ALL SELECT client_id, NULL, error, bad, true FROM g WHERE city IS NULL
+    UNION ALL SELECT client_id, NULL, NULL, NULL, true FROM clients ANTI JOIN g USING (client_id)""")
+def place_cache(spark, sf_dir):  # S13 S15: answers in three batches, and which clients are still to be asked for
+    a = read(spark, sf_dir, "client_changes").filter("client_id is not null and change_id is not null and source is not null")
+    a = a.select("client_id", "city", F.when(F.col("city").isNull(), F.concat(F.lit("no answer from "), "source")).alias("error"), "change_id")
+    cache = a.limit(0)
+    for k in range(3):
+        cache = places.merged(cache, a.filter(F.col("change_id") % 3 == k), "client_id", "city", "change_id")
+    cache = scratch.written(cache, "places")
+    ask = places.to_ask(read(spark, sf_dir, "clients").select("client_id").unionByName(cache.select("client_id")), cache, "client_id", "city")
+    return cache.join(ask.withColumn("to_ask", F.lit(True)), "client_id", "full_outer").select("client_id", "city", "error", "change_id", F.coalesce("to_ask", F.lit(False)).alias("to_ask"))
+
+
+@query("""
+    WITH p AS (SELECT city AS name, arg_min(client_id, (-balance, client_id)) AS id FROM clients WHERE city IS NOT NULL AND balance IS NOT NULL AND client_id % 5 <> 0 GROUP BY city)
+    SELECT change_id, city, name || ' | Geonames ID: [ ' || id || '](https://www.geonames.org/' || id || ')' AS best_match FROM client_changes LEFT JOIN p ON name = city""")
+def place_hits(spark, sf_dir):  # S16: the city of every change, sought among the clients' cities
+    c = read(spark, sf_dir, "clients").filter("balance is not null and client_id % 5 <> 0").select(F.col("client_id").alias("place_id"), F.col("city").alias("place_name"), F.col("balance").alias("rank"))
+    return places.first_hits(read(spark, sf_dir, "client_changes").select("change_id", "city"), c, "city")
+
+
+@query(f"""
+    WITH e AS ({EDGE}), b AS (SELECT record, related FROM e GROUP BY record, related HAVING bool_or(type = 'Parent') AND bool_or(type = 'Child'))
+    SELECT record, related, CASE WHEN b.record IS NULL THEN type ELSE 'Error' END AS type, count(*) AS n FROM e LEFT JOIN b USING (record, related) GROUP BY ALL""")
+def marked_edges(spark, sf_dir):  # A7: every edge, counted by what it says then
+    return relations.marked(line_edges(spark, sf_dir)).groupBy("record", "related", "type").agg(F.count("*").alias("n"))
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, source, lang, regexp_matches(text, '\b(the|of|and)\b') AS a, regexp_matches(text, '\b(that|with|for)\b') AS b FROM documents),
+    n AS (SELECT source, lang, count(*) AS n, max(count(*)) OVER (PARTITION BY source) AS most FROM d WHERE lang IS NOT NULL GROUP BY source, lang)
+    SELECT doc_id, lang, CASE WHEN lang = 'en' THEN NOT (coalesce(a, false) AND coalesce(b, false)) ELSE NOT (coalesce(lang = 'es' AND source = 'src0', false) OR coalesce(n >= 0.3 * most, false)) END AS outlier FROM d LEFT JOIN n USING (source, lang)""")
+def marked_languages(spark, sf_dir):  # A4: every document, two word tests as detectors
+    d = read(spark, sf_dir, "documents")
+    for name, words in (("a", "the|of|and"), ("b", "that|with|for")):
+        d = d.withColumn(name, F.when(F.col("text").rlike(rf"\b({words})\b"), F.array(F.lit("en"))))
+    listed = spark.createDataFrame([("src0", ["es"])], "place string, langs array<string>")
+    return languages.marked_outliers(d, "source", "lang", "a", "b", listed, 0.3).select("doc_id", "lang", "outlier")

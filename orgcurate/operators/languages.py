@@ -26,6 +26,21 @@ def outliers(df: DataFrame, group: str, lang: str, share: float = 0.1) -> DataFr
     return profile(df, group, lang).filter((F.col("n") < share * F.col("greatest")) & (F.col(lang) != "en")).select(group, lang, "n")
 
 
+def marked_outliers(df: DataFrame, place: str, lang: str, by_a: str, by_b: str, common_list: DataFrame | None = None, share: float = 0.1) -> DataFrame:
+    """A4: every row with `outlier`: for English, whether one of the two detectors (arrays of languages, null
+    as none) does not name it; for another language, whether it is neither in the place's list of common languages
+    nor has `share` of its most frequent one. common_list: place, langs; rows without a language are outliers."""
+    often = profile(df, place, lang).filter(F.col("n") >= share * F.col("greatest")).select(place, lang, F.lit(True).alias("_often"))
+    d = df.join(often, [place, lang], "left")
+    listed = F.lit(False)
+    if common_list is not None:
+        d = d.join(common_list.select(F.col("place").alias(place), F.col("langs").alias("_langs")), place, "left")
+        listed = F.coalesce(F.array_contains("_langs", F.col(lang)), F.lit(False))
+    named = [F.coalesce(F.array_contains(c, "en"), F.lit(False)) for c in (by_a, by_b)]
+    outlier = F.when(F.col(lang) == "en", ~(named[0] & named[1])).otherwise(~(listed | F.coalesce("_often", F.lit(False))))
+    return d.withColumn("outlier", outlier).select(*df.columns, "outlier")
+
+
 def priority(count: Column, high: int = 100, low: int = 1, update: Column | None = None) -> Column:
     """A10: P1 from `high` on, P2 from `low` on or for updates, else P3."""
     middle = count >= low if update is None else (count >= low) | update

@@ -35,6 +35,13 @@ def contradictions(edges: DataFrame) -> DataFrame:
     return g.filter(both).select("record", "related", "n_edges")
 
 
+def marked(edges: DataFrame) -> DataFrame:
+    """All edges; those whose record and related record have types that exclude each other are of type
+    Error. Only the contradictory pairs, one row each, are joined back."""
+    bad = contradictions(edges).select("record", "related", F.lit(True).alias("_bad"))
+    return edges.join(bad, ["record", "related"], "left").withColumn("type", F.when(F.col("_bad"), "Error").otherwise(F.col("type"))).select(*edges.columns)
+
+
 def with_inverse(edges: DataFrame) -> DataFrame:
     """Edges whose inverse is there too."""
     other = edges.select(F.col("related").alias("record"), F.col("record").alias("related"), inverse(F.col("type")).alias("type"))

@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from .catalog import EDGE, line_edges, query, read
-from .operators import deepdiff, detection, history, languages, places, relations, updates
+from .catalog import EDGE, line_edges, query, read, v1_records
+from .functions import text
+from .operators import deepdiff, detection, history, languages, places, reconcile, relations, reshape, updates
 from .sources import scratch, versions
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
@@ -173,3 +174,38 @@ def marked_languages(spark, sf_dir):  # A4: every document, two word tests as de
         d = d.withColumn(name, F.when(F.col("text").rlike(rf"\b({words})\b"), F.array(F.lit("en"))))
     listed = spark.createDataFrame([("src0", ["es"])], "place string, langs array<string>")
     return languages.marked_outliers(d, "source", "lang", "a", "b", listed, 0.3).select("doc_id", "lang", "outlier")
+
+
+@query("""
+    WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS id FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    k AS (SELECT id, c_custkey % 13 <> 0 AS there, c_custkey % 11 <> 0 AS here, list_filter([
+        CASE WHEN c_custkey % 3 <> 0 THEN {'k': 'status', 'v': '[Active] != [active]'} END, CASE WHEN c_custkey % 7 = 0 THEN {'k': 'names.types.alias', 'v': '[' || c_mktsegment || '] != []'} END,
+        CASE WHEN c_custkey % 5 = 0 THEN {'k': 'links.type.website', 'v': '[https://x.org/' || c_custkey || '] != []'} END], lambda x: x IS NOT NULL) AS off FROM c)
+    SELECT id, CASE WHEN NOT there THEN 'only_v1' WHEN NOT here THEN 'only_v2' WHEN len(off) = 0 THEN 'equal' ELSE 'different' END AS outcome, CASE WHEN here AND there THEN len(off) = 0 END AS all_values_equal,
+        CASE WHEN here AND there THEN array_to_string(list_transform(off, lambda x: x.k), '; ') END AS mismatched_keys, CASE WHEN here AND there THEN array_to_string(list_transform(off, lambda x: x.k || ': ' || x.v), '; ') END AS mismatched_values FROM k WHERE here OR there""")
+def reconciled_dumps(spark, sf_dir):  # O8 P12: a v1 dump against a v2 dump that lost some values and records
+    old = v1_records(spark, sf_dir)
+    key = F.col("id").cast("long")
+    new = reshape.to_v2(old)
+    new = new.withColumn("names", F.when(key % 7 == 0, F.filter("names", lambda n: ~F.array_contains(n["types"], "alias"))).otherwise(F.col("names")))
+    new = new.withColumn("links", F.when(key % 5 == 0, F.filter("links", lambda x: x["type"] != "website")).otherwise(F.col("links")))
+    old = old.withColumn("status", F.when(key % 3 == 0, F.lower("status")).otherwise(F.col("status")))
+    return reconcile.reconciled(old.filter(key % 11 != 0), new.filter(key % 13 != 0))
+
+
+@query(r"""
+    WITH c AS (SELECT client_id AS id, name, source, city, segment, regexp_replace(trim(name), '\s+', ' ', 'g') AS n FROM clients WHERE name IS NOT NULL),
+    a AS (SELECT *, unnest([strip_accents(array_to_string(list_transform(string_split(n, ' '), lambda w: upper(left(w, 1))), '')), upper(left(city, 2)), 'QQ']) AS acronym FROM c),
+    f AS (SELECT DISTINCT id, name, source, city, segment, acronym, contains(strip_accents(upper(city[:3])), acronym) OR contains(upper(city[:3]), acronym) AS by_city,
+        list_bool_or(list_transform([1, 2, 3], lambda k: contains(array_to_string(list_transform(string_split(n, ' '), lambda w: upper(left(w, k))), ''), acronym) OR contains(strip_accents(array_to_string(list_transform(string_split(n, ' '), lambda w: upper(left(w, k))), '')), acronym)))
+        OR contains(strip_accents(array_to_string(list_transform(list_filter(string_split(n, ' '), lambda w: regexp_matches(w, '^\p{Lu}')), lambda w: left(w, 1)), '')), acronym) AS by_name FROM a WHERE acronym IS NOT NULL)
+    SELECT id, acronym, CASE WHEN coalesce(by_city, false) AND segment IS NOT NULL THEN city WHEN by_name THEN name END AS name, CASE WHEN coalesce(by_city, false) AND segment IS NOT NULL THEN segment WHEN by_name THEN source END AS lang FROM f""")
+def acronym_languages(spark, sf_dir):  # X24: the source stands for the language of a name, the segment for that of a city
+    c = read(spark, sf_dir, "clients").filter("name is not null")
+    words = F.filter(F.split("name", r"\s+"), lambda w: w != "")
+    first = text.folded(F.array_join(F.transform(words, lambda w: F.upper(F.left(w, F.lit(1)))), ""))
+    entry = lambda v, t, lang: F.named_struct(F.lit("value"), v, F.lit("types"), F.array(F.lit(t)), F.lit("lang"), lang)
+    none = F.lit(None).cast("string")
+    short = F.transform(F.array_distinct(F.filter(F.array(first, F.upper(F.left("city", F.lit(2))), F.lit("QQ")), lambda x: x.isNotNull())), lambda a: entry(a, "acronym", none))
+    names = F.concat(F.array(entry(F.col("name"), "label", F.col("source")), entry(F.col("city"), "alias", F.col("segment"))), short)
+    return languages.acronym_languages(c.select(F.col("client_id").alias("id"), F.array(F.lit("education")).alias("types"), names.alias("names")))

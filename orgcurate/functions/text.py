@@ -155,3 +155,23 @@ def version(x: Column) -> Column:
 
 def release_date(x: Column) -> Column:
     return F.try_to_date(F.regexp_extract(x, r"(\d{4}-\d{2}-\d{2})", 1))
+
+
+def _folding() -> tuple[str, str]:
+    """Latin letters with marks, and the letters without, as far as Unicode takes them apart into one letter."""
+    import unicodedata
+
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) for a, b in ((0xC0, 0x250), (0x1E00, 0x1F00)) for c in range(a, b)]
+    pairs = [(x, y) for x, y in pairs if len(y) == 1 and y.isalpha()]
+    return "".join(x for x, _ in pairs), "".join(y for _, y in pairs)
+
+
+# Letters that do not come apart, as they are spelt in ASCII.
+SPELT = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Þ": "Th", "þ": "th", "ı": "i"}
+
+
+def folded(x: Column) -> Column:
+    """Latin letters without their marks, in the JVM; other letters stay."""
+    for a, b in SPELT.items():
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return F.translate(x, *_folding())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 
 def profile(df: DataFrame, group: str, lang: str) -> DataFrame:
     """A1: n of each language in each group, with the group's total and greatest count."""
@@ -88,3 +90,26 @@ def top(values: Column, n: int) -> Column:
 def acronym(name: Column) -> Column:
     """First letters of the capitalised words."""
     return F.array_join(F.transform(F.filter(F.split(name, r"[\s\-]+"), lambda w: w.rlike(r"^\p{Lu}")), lambda w: F.substring(w, 1, 1)), "")
+
+
+def pseudo_acronyms(name: Column, most: int = 3) -> Column:
+    """First letters of all words, of those that begin with a capital, and the first one to `most`
+    letters of all words, in capitals; each also with letters folded to ASCII."""
+    words = F.filter(F.split(name, r"\s+"), lambda w: w != "")
+    of = lambda k: F.array_join(F.transform(words, lambda w: F.upper(F.left(w, F.lit(k)))), "")
+    capitals = F.array_join(F.transform(F.filter(words, lambda w: w.rlike(r"^\p{Lu}")), lambda w: F.left(w, F.lit(1))), "")
+    plain = F.array(*(of(k) for k in range(1, most + 1)), capitals)
+    return F.array_distinct(F.concat(plain, F.transform(plain, text.folded)))
+
+
+def acronym_languages(records: DataFrame, most: int = 3) -> DataFrame:
+    """Id, acronym, name, lang of every acronym without a language: the last label or alias with a
+    language one of whose pseudo acronyms holds the acronym; name and lang are null where none does. Records of
+    the type company are left out. records: id, types, names (value, types, lang)."""
+    kind = lambda n, *t: F.arrays_overlap(n["types"], F.array(*map(F.lit, t)))
+    has = lambda n: F.coalesce(n["lang"], F.lit("")) != ""
+    named = F.transform(F.filter("names", lambda n: has(n) & kind(n, "alias", "label")), lambda n: F.named_struct(F.lit("value"), n["value"], F.lit("lang"), n["lang"], F.lit("short"), pseudo_acronyms(n["value"], most)))
+    d = records.filter(~F.coalesce(F.array_contains("types", "company"), F.lit(False))).select("id", named.alias("named"), F.explode(F.filter("names", lambda n: ~has(n) & kind(n, "acronym"))).alias("_short"))
+    fits = F.filter("named", lambda n: F.exists(n["short"], lambda p: F.contains(p, F.upper(F.col("_short.value")))))
+    last = F.try_element_at(fits, F.lit(-1))
+    return d.select("id", F.col("_short.value").alias("acronym"), last["value"].alias("name"), last["lang"].alias("lang"))

@@ -1,16 +1,17 @@
 """License scan by conditional compression.
 
 A candidate block is a line that has one of the CUES or, where no template is confirmed in
-it, that line with its neighbours up to blank ones, BEFORE and AFTER at most, without comment
-marks, so that wrapped notices are found. A block is compressed with zstandard once alone and
+it, that line with its neighbours up to blank ones, as far as REACH words (more than any template
+has) before and after it, without comment marks, so that wrapped notices are found. A block is compressed with zstandard once alone and
 once with each template as raw dictionary; the templates are ranked by how many bytes that
 saves, and the first is taken that the exact wording differences confirm: between the first
 and the last word that they share, block and template may differ in FILLER words only; for
 templates of LONG words or more, in LOOSE of the words, but not in names, numbers or
-negations. A negation right before the shared words rejects as well. Every line of every
-whole text is looked at.
+negations. A negation right before the shared words rejects as well, and a word of the FORMER
+ones in the same sentence. The words confirmed are then cut out and the rest of the block is ranked again, so that a block
+names all its licenses. Every line of every whole text is looked at.
 
-SPDX identifiers are read as they are. A BSD notice whose conditions follow without the
+SPDX identifiers are read as they are. A short name alone on its line saves no bytes and is not named. A BSD notice whose conditions follow without the
 clause on names is BSD-2-Clause.
 
 Defined results: null and empty texts have no blocks; a block that no template confirms is
@@ -83,15 +84,25 @@ FILLER = set("a an and any are as at be been by can distributed document code co
 NEGATIONS = set("cannot neither never no non nor not without aren isn".split())
 NAMES = set("affero apache boost bsd cc cc0 creative commons eclipse gnu isc lesser library mit mozilla noderivatives noncommercial sharealike nc nd sa".split())
 LONG, LOOSE = 20, 0.15
-BEFORE, AFTER = 6, 8
+REACH = 200
+FORMER = set("former formerly previously".split())
+# Names with a version, as they are often written instead of a notice.
+for _name in [k for k in TEMPLATES if any(c.isdigit() for c in k) and not k.startswith("CC")]:
+    TEMPLATES[_name].append(f"Licensed under {_name}")
+SHORT = re.compile(r"\b([la]?gpl)[ -]?v?(\d)(\.\d)?\b", re.I)
 SPDX = re.compile(r"SPDX-License-Identifier:\s*([^\n]*)", re.I)
 MARKS = re.compile(r"^[\s#*/;%<>!-]+")
-CUES = re.compile(r"licen[cs]|copyright|©|\(c\)|rights reserved|creative commons|public domain|spdx|redistribut|warrant|\bcc[ -]by\b|\bcc0\b|permission is hereby|permission to use", re.I)
+CUES = re.compile(r"licen[cs]|copyright|©|\(c\)|rights reserved|creative commons|public domain|spdx|redistribut|warrant|\bcc[ -]by\b|\bcc0\b|permission is hereby|permission to use|\b[la]?gpl[ -]?v?\d|\bapache-2", re.I)
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 
+def spelt(text: str) -> str:
+    """In lower case, with short names as one word: GPLv3 and GPL-3.0 are gpl3.0."""
+    return SHORT.sub(lambda m: f"{m[1]}{m[2]}{m[3] or '.0'}", text.lower())
+
+
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return WORD.findall(spelt(text))
 
 
 @lru_cache(maxsize=1)
@@ -109,38 +120,51 @@ def ranked(block: str) -> list[tuple[int, str, list[str]]]:
     return sorted((x for x in saved if x[0] > 0), key=lambda x: (-x[0], x[1], x[2]))
 
 
-def confirmed(words: list[str], mine: list[str]) -> bool:
-    """Whether the block's words differ from the template's only as far as notices may."""
+def confirmed(words: list[str], mine: list[str]) -> tuple[int, int] | None:
+    """The span of the block's words that are the template's, if they differ only as far as notices may."""
     same = [m for m in difflib.SequenceMatcher(None, words, mine, autojunk=False).get_matching_blocks() if m.size]
     if not same:
-        return False
+        return None
     a, b = same[0].b, same[-1].b + same[-1].size
     taken = {m.a + i for m in same for i in range(m.size)}
     kept = {m.b + i for m in same for i in range(m.size)}
     differ = [w for i, w in enumerate(words) if i not in taken] + [mine[j] for j in range(a, b) if j not in kept]
     if not NEGATIONS.isdisjoint(mine[max(0, a - 2) : a]) or not NEGATIONS.isdisjoint(differ):
-        return False
+        return None
     if len(words) < LONG:
-        return FILLER.issuperset(differ)
-    return len(differ) <= LOOSE * len(words) and NAMES.isdisjoint(differ) and not any(c.isdigit() for w in differ for c in w)
+        return (a, b) if FILLER.issuperset(differ) else None
+    return (a, b) if len(differ) <= LOOSE * len(words) and NAMES.isdisjoint(differ) and not any(c.isdigit() for w in differ for c in w) else None
 
 
 @lru_cache(maxsize=4096)
-def named(block: str) -> tuple[str, int]:
-    """(license or empty, bytes saved by its template, or by the best one)."""
-    order, mine = ranked(block), words_of(block)
-    for saved, k, words in order:
-        if confirmed(words, mine):
-            return k, saved
-    return "", order[0][0] if order else 0
+def named(block: str) -> tuple[tuple[str, ...], int]:
+    """(licenses in the order in which they were confirmed, bytes saved by their templates, or by the best one if there are none)."""
+    found: list[str] = []
+    total, left = 0, spelt(block)
+    while True:
+        order, mine = ranked(left), [m for m in WORD.finditer(left)]
+        plain = [m[0] for m in mine]
+        hit = next(((saved, k, span) for saved, k, words in order if (span := confirmed(words, plain))), None)
+        if hit is None:
+            return tuple(found), total if found else order[0][0] if order else 0
+        saved, k, (a, b) = hit
+        start, end = mine[a].start(), mine[b - 1].end()
+        if FORMER.isdisjoint(WORD.findall(left[:start].rpartition(". ")[2])):
+            found.append(k)
+            total += saved
+        left = f"{left[:start]} | {left[end:]}"
 
 
 def around(lines: list[str], i: int) -> str:
-    """Line i with its neighbours up to blank lines, without comment marks."""
+    """Line i with its neighbours up to blank lines, as far as REACH words, without comment marks."""
     a, b = i, i + 1
-    while a > max(0, i - BEFORE) and MARKS.sub("", lines[a - 1]):
+    words = 0
+    while a > 0 and words < REACH and (line := MARKS.sub("", lines[a - 1])):
+        words += len(line.split())
         a -= 1
-    while b < min(len(lines), i + 1 + AFTER) and MARKS.sub("", lines[b]):
+    words = 0
+    while b < len(lines) and words < REACH and (line := MARKS.sub("", lines[b])):
+        words += len(line.split())
         b += 1
     return " ".join(MARKS.sub("", x).strip() for x in lines[a:b])
 
@@ -150,15 +174,16 @@ def of_line(lines: list[str], i: int) -> tuple[list[str], int]:
     spdx = SPDX.search(lines[i])
     if spdx:
         return [x for x in re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*", spdx[1]) if x.upper() not in ("AND", "OR", "WITH")], 0
-    k, saved = named(lines[i].strip())
-    if not k:
-        k, saved = named(around(lines, i))
-    if k == "BSD-3-Clause":
+    names, saved = named(lines[i].strip())
+    if not names:
+        names, saved = named(around(lines, i))
+    names = list(dict.fromkeys(names))
+    if "BSD-3-Clause" in names:
         rest = " ".join(MARKS.sub("", x) for x in lines[i : i + 40]).lower()
         rest = rest.split("this software is provided")[0]
         if re.search(r"redistributions\s+in\s+binary\s+form", rest) and not re.search(r"neither\s+the\s+name|endorse\s+or\s+promote", rest):
-            k = "BSD-2-Clause"
-    return [k] if k else [], saved
+            names[names.index("BSD-3-Clause")] = "BSD-2-Clause"
+    return names, saved
 
 
 def licenses(docs: DataFrame) -> DataFrame:

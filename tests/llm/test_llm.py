@@ -537,6 +537,18 @@ def test_license_names_and_negations():
     assert {t: license.of_line([t], 0)[0] for t in texts} == texts
 
 
+def test_all_licenses_of_a_block_are_named():
+    texts = {
+        "Dual licensed under the MIT License or the Apache License, Version 2.0": ["Apache-2.0", "MIT"], "Licensed under CC BY 4.0, except figures, which are CC BY-NC 4.0.": ["CC-BY-4.0", "CC-BY-NC-4.0"],
+        "Licensed under GPL-3.0": ["GPL-3.0"], "Licensed under GPLv3": ["GPL-3.0"], "Apache-2.0": ["Apache-2.0"], "It was formerly released under the MIT License.": [], "Formerly under the MIT License. Now licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+        "Licensed under LGPL v2.1": ["LGPL-2.1"], "published under license by a press": [],
+    }
+    assert {t: sorted(license.of_line([t], 0)[0]) for t in texts} == texts
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.".split()
+    lines = [" ".join(gpl[i : i + 2]) for i in range(0, len(gpl), 2)]
+    assert "GPL-3.0" in {k for i, x in enumerate(lines) if license.CUES.search(x) for k in license.of_line(lines, i)[0]}
+
+
 def test_license_ranking_equals_brute_force():
     import zstandard
 

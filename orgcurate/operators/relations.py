@@ -80,14 +80,15 @@ def parents(hierarchy: DataFrame) -> DataFrame:
 
     Rounds go on until no root changes; nodes below a cycle have no root, so they end when
     every chain without one has been followed, by the number of rows."""
-    d = written(hierarchy.select("node", F.coalesce("parent", "node").alias("root")), "parents")
+    d = written(hierarchy.select("node", F.coalesce("parent", "node").alias("root"), F.lit(True).alias("moved")), "parents")
     for _ in range(d.count().bit_length() + 1):
         up = d.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = written(d.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("up") != F.col("root")).alias("moved")), "parents")
-        d = new.select("node", "root")
-        if new.filter("moved").isEmpty():
+        # A node whose root did not move has the last one, so that the many nodes of a large tree do not meet again and again at its root.
+        new = d.filter("moved").join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.coalesce(F.col("up") != F.col("root"), F.lit(False)).alias("moved"))
+        d = written(d.filter("NOT moved").unionByName(new), "parents")
+        if d.filter("moved").isEmpty():
             break
-    return d
+    return d.select("node", "root")
 
 
 def sticky(df: DataFrame, partition: list[str], order: str, column: str) -> Column:

@@ -5,16 +5,16 @@ are first dealt out by content: of the GRAM-byte strings inside a window of LENG
 bytes the one with the least hash is its anchor, so equal windows have equal anchors,
 at the same place. Neighbouring windows with the same anchor are one run.
 
-1. Runs go to the task of their anchor's hash. Runs with the same fingerprint of all their
-   bytes are one class: all but its first are removed whole. An anchor with one class only
-   can hold no other repetition. Two different runs are taken for one if 64-bit hashes of
-   their bytes agree and those of their anchors do too.
+1. Runs go to the task of their anchor's hash. Runs with the same 128-bit BLAKE2b digest of
+   all their bytes are one class: all but its first are removed whole, so that copies of
+   whole documents need not be sorted. An anchor with one class only can hold no other
+   repetition.
 2. For anchors with several classes, the first run of each brings its bytes, and the
-   windows in these runs are sorted as suffixes: multikey quicksort on words of 8 bytes
-   to SHALLOW bytes, then a blind trie for each group that still agrees. The quicksort
-   parts all its groups at once, by one array sort on (group, word), where the textbook
-   form takes one group and one pivot at a time. Equal windows are next to each other; all
-   but the first in (doc_id, start) order are removed.
+   windows in these runs are sorted as suffixes: three-way multikey quicksort on words of
+   8 bytes to SHALLOW bytes, then a blind trie for each group that still agrees. Each pass
+   of the quicksort parts all open groups, each about its own pivot, in one set of array
+   operations. Equal windows are next to each other; all but the first in (doc_id, start)
+   order are removed.
 
 Nothing grows with a group in one task but its classes: equal runs are told apart as a
 sorted stream, and each task already sets aside the repetitions that it sees itself. An
@@ -59,14 +59,15 @@ TOGETHER = 8 << 20
 #: Hot anchors that may be broadcast: 16 MB.
 FEW = 1 << 20
 RECORD = struct.Struct(f"<qq{LENGTH}s")
-RUNS = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
+RUNS = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("twin", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
 FOUND = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("key", pa.int64())])
 
 
 def runs_in(data: np.ndarray, off: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
-    """key, class, doc_id, at of every run of a slice. at: start << 16 | last - start << 8 | anchor - start."""
+    """key, class, twin, doc_id, at of every run of a slice. class and twin: the digest of its
+    bytes. at: start << 16 | last - start << 8 | anchor - start."""
     n = len(data)
-    none = [np.zeros(0, np.int64)] * 4
+    none = [np.zeros(0, np.int64)] * 5
     if n < LENGTH:
         return none
     up, down = power_pair(n + 1)
@@ -91,9 +92,11 @@ def runs_in(data: np.ndarray, off: np.ndarray, ids: np.ndarray) -> list[np.ndarr
         edge = np.append(np.flatnonzero(new | ~fits), len(anchor))
         last = edge[np.searchsorted(edge, first, side="right")] - 1
         a = anchor[first]
-        whole = mix((total[last + LENGTH] - total[first]) * down[first] + U64(0x9E3779B97F4A7C15) * ((last - first) << 8 | a - first).astype(U64))
+    raw = data.tobytes()
+    digest = b"".join([hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)])
+    whole = np.frombuffer(digest, np.int64).reshape(-1, 2)
     start = first - off[row[first]]
-    return [gram[a].view(np.int64), whole.view(np.int64), ids[row[first]], start << 16 | (last - first) << 8 | (a - first)]
+    return [gram[a].view(np.int64), whole[:, 0], whole[:, 1], ids[row[first]], start << 16 | (last - first) << 8 | (a - first)]
 
 
 def together(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,18 +118,19 @@ def together(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def set_apart(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Runs by class; of those in one class only the first keeps its key, the others are set
     aside, neighbours together, under keys of their own."""
-    key, kind, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    key, kind, twin, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
-    order = np.lexsort((at, doc, kind, key))
-    key, kind, doc, at = (x[order] for x in (key, kind, doc, at))
+    order = np.lexsort((at, doc, twin, kind, key))
+    key, kind, twin, doc, at = (x[order] for x in (key, kind, twin, doc, at))
     later = np.zeros(len(key), bool)
-    later[1:] = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1])
+    later[1:] = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1]) & (twin[1:] == twin[:-1])
     d, a = together(doc[later], at[later])
     with np.errstate(over="ignore"):
         spread = mix(d.view(U64) * U64(0x9E3779B97F4A7C15) + a.view(U64)).view(np.int64)
-    key, kind, doc, at = (np.append(x[~later], y) for x, y in ((key, spread), (kind, np.zeros(len(d), np.int64)), (doc, d), (at, a | SET_ASIDE)))
+    none = np.zeros(len(d), np.int64)
+    key, kind, twin, doc, at = (np.append(x[~later], y) for x, y in ((key, spread), (kind, none), (twin, none), (doc, d), (at, a | SET_ASIDE)))
     for k in range(0, len(key), 200_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (key, kind, doc, at)], schema=RUNS)
+        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (key, kind, twin, doc, at)], schema=RUNS)
 
 
 def anchored(docs: DataFrame) -> DataFrame:
@@ -145,30 +149,30 @@ def anchored(docs: DataFrame) -> DataFrame:
         if parts:
             yield from set_apart(parts)
 
-    return docs.mapInArrow(run, "key long, class long, doc_id long, at long")
+    return docs.mapInArrow(run, "key long, class long, twin long, doc_id long, at long")
 
 
 def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs sorted by key, class, doc_id, at: those to remove (key null), and the first
+    """From runs sorted by key, class, twin, doc_id, at: those to remove (key null), and the first
     of each class where a key has several classes."""
     held: list[np.ndarray] | None = None  # the last first-of-class, which may prove to be needed
     sent = True
-    before: tuple[int, int] | None = None
+    before: tuple[int, int, int] | None = None
     for b in batches:
-        key, kind, doc, at = (b.column(c).to_numpy() for c in ("key", "class", "doc_id", "at"))
+        key, kind, twin, doc, at = (b.column(c).to_numpy() for c in ("key", "class", "twin", "doc_id", "at"))
         if not len(key):
             continue
         aside = at & SET_ASIDE != 0
         out = [(doc[aside], at[aside] & ~SET_ASIDE, None)]
-        key, kind, doc, at = (x[~aside] for x in (key, kind, doc, at))
+        key, kind, twin, doc, at = (x[~aside] for x in (key, kind, twin, doc, at))
         if len(key):
             same_key = np.zeros(len(key), bool)
             same_key[1:] = key[1:] == key[:-1]
             same = np.zeros(len(key), bool)
-            same[1:] = same_key[1:] & (kind[1:] == kind[:-1])
+            same[1:] = same_key[1:] & (kind[1:] == kind[:-1]) & (twin[1:] == twin[:-1])
             if before is not None:
-                same[0] = before == (int(key[0]), int(kind[0]))
-            before = (int(key[-1]), int(kind[-1]))
+                same[0] = before == (int(key[0]), int(kind[0]), int(twin[0]))
+            before = (int(key[-1]), int(kind[-1]), int(twin[-1]))
             out.append((*together(doc[same], at[same]), None))
             k, d, a = key[~same], doc[~same], at[~same]
             if held is not None:
@@ -316,26 +320,53 @@ def blind_trie(text: bytes, places: list[int], depth: int) -> list[list[int]]:
     return out
 
 
-def sorted_groups(text: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
-    """Indices into at, in groups of two or more whose windows of LENGTH bytes are equal.
+def parted(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One pass of the quicksort over groups that begin at `first`: an order that puts the words
+    below, equal to and above the group's pivot, the median of its first, middle and last one,
+    next to each other, where the parts begin in that order, and which are the equal ones."""
+    size = np.diff(np.append(first, len(word)))
+    ends = np.stack([word[first], word[first + size // 2], word[first + size - 1]])
+    pivot = np.repeat(np.sort(ends, axis=0)[1], size)
+    side = np.repeat(3 * np.arange(len(first)), size) + (word >= pivot) + (word > pivot)
+    order = np.argsort(side, kind="stable")
+    side = side[order]
+    begin = np.flatnonzero(np.append(True, side[1:] != side[:-1]))
+    return order, begin, side[begin] % 3 == 1
 
-    Shallow: quicksort on one 8-byte key after the other, on groups that still agree.
-    Deep: a blind trie for each group that agrees to SHALLOW bytes.
+
+def shallow_groups(text: np.ndarray, at: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices into at, in sets of two or more that agree to SHALLOW bytes within a group.
+
+    Three-way multikey quicksort: the part equal to the pivot goes on with its next word, the
+    others with the same one; parts of one member are done.
     """
-    order, group = np.arange(len(at)), np.zeros(len(at), np.int64)
-    for depth in range(0, SHALLOW, 8):
-        key = word_at(text, at[order] + depth)
-        s = np.lexsort((key, group))
-        order, group, key = order[s], group[s], key[s]
-        new = np.ones(len(order), bool)
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
-        group = np.cumsum(new) - 1
-        alone = np.bincount(group)[group] == 1
-        order, group = order[~alone], group[~alone]
-        if not len(order):
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(group[order]) != 0)) if len(order) else order
+    depth = np.zeros(len(first), np.int64)
+    word = word_at(text, at[order])
+    while True:
+        size = np.diff(np.append(first, len(order)))
+        deep = (depth >= SHALLOW) & (size > 1)
+        for a, n in zip(first[deep].tolist(), size[deep].tolist(), strict=True):
+            yield order[a : a + n]
+        open_ = (depth < SHALLOW) & (size > 1)
+        if not open_.any():
             return
+        rows = np.repeat(open_, size)
+        order, word, depth, size = order[rows], word[rows], depth[open_], size[open_]
+        first = np.cumsum(size) - size
+        moved, begin, equal = parted(word, first)
+        owner = np.searchsorted(first, begin, side="right") - 1
+        order, word, depth, first = order[moved], word[moved], depth[owner] + 8 * equal, begin
+        deeper = np.repeat(equal & (depth < SHALLOW), np.diff(np.append(first, len(order))))
+        word[deeper] = word_at(text, at[order[deeper]] + np.repeat(depth, np.diff(np.append(first, len(order))))[deeper])
+
+
+def sorted_groups(text: np.ndarray, at: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices into at, in sets of two or more of one group whose windows of LENGTH bytes are
+    equal: shallow_groups, then a blind trie for each set that it leaves."""
     raw = text.tobytes()
-    for some in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+    for some in shallow_groups(text, at, group):
         places = at[some].tolist()
         of = dict(zip(places, some.tolist(), strict=True))
         for same in blind_trie(raw, places, SHALLOW):
@@ -372,7 +403,7 @@ def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, text: np.ndarray,
     step = np.arange(len(owner)) - np.repeat(np.cumsum(size[use]) - size[use], size[use]) + near[owner]
     place, begin = off[owner] + step, start[owner] + step
     out_doc, out_at = [], []
-    for same in sorted_groups(text, place):
+    for same in sorted_groups(text, place, key[owner]):
         s = same[np.lexsort((begin[same], doc[owner[same]]))]
         out_doc.append(doc[owner[s[1:]]])
         out_at.append(begin[s[1:]] << 16)
@@ -438,7 +469,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """docs (with ID) and SPANS, array<struct<s, e>>: byte intervals to remove, in any order, may overlap."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(f"`{ID}`").alias("doc_id"), "text")
-    runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "doc_id", "at")
+    runs = anchored(texts).repartition("key").sortWithinPartitions("key", "class", "twin", "doc_id", "at")
     found = written(runs.mapInArrow(told_apart, "doc_id long, at long, key long"), "runs")
     runs = found.filter("key is not null")
     hot = runs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)

@@ -211,6 +211,29 @@ def test_blind_trie_sorts_like_a_sort():
     assert sorted(p for g in groups for p in g) == places
 
 
+def test_multikey_quicksort_groups_equal_windows():
+    r = random.Random(8)
+    text = bytes(r.choice(b"ab") for _ in range(400)) * 2 + b"c" * 300 + b"abcdefgh" * 60 + bytes(range(200, 100, -1)) * 3
+    unique = np.arange(len(text) - 100)
+    for groups in (1, 3):
+        group = np.array([r.randrange(groups) for _ in unique], np.int64)
+        want = {}
+        for p in unique.tolist():
+            want.setdefault((int(group[p]), text[p : p + 100]), []).append(p)
+        got = sorted(sorted(g.tolist()) for g in suffix_dedup.sorted_groups(np.frombuffer(text, np.uint8), unique, group))
+        assert got == sorted(v for v in want.values() if len(v) > 1) and len(got) > 100
+    assert list(suffix_dedup.sorted_groups(np.zeros(0, np.uint8), unique[:0], unique[:0])) == []
+
+
+def test_runs_whose_first_hashes_collide_are_compared():
+    at = 5 << 16
+    rows = [(1, 7, 1, 10, at), (1, 7, 1, 11, at), (1, 7, 2, 12, at), (2, 7, 1, 13, at)]  # one anchor and half of the digest
+    batch = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], schema=suffix_dedup.RUNS)
+    for parts in ([batch], [batch.slice(k, 1) for k in range(4)]):
+        out = [tuple(x.values()) for b in suffix_dedup.told_apart(iter(parts)) for x in b.to_pylist()]
+        assert sorted(out, key=str) == sorted([(11, at, None), (10, at, 1), (12, at, 1)], key=str)
+
+
 def test_near_dedup_equals_brute_force(docs, rows):
     ids = [(i, x) for i, x in rows if i is not None and i not in (6000, 6001)]
     table = docs.filter("doc_id is not null and doc_id not in (6000, 6001)")

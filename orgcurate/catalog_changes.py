@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from .catalog import EDGE, line_edges, query, read, v1_records
-from .functions import text
-from .operators import deepdiff, detection, history, languages, places, reconcile, relations, reshape, updates
+from .functions import issues, text
+from .operators import deepdiff, detection, duplicates, history, languages, places, reconcile, relations, releases, reshape, updates
 from .sources import scratch, versions
 
 # A client's state is that of its last change by seq and change_id, none if that is a deletion; `rows`
@@ -209,3 +209,64 @@ def acronym_languages(spark, sf_dir):  # X24: the source stands for the language
     short = F.transform(F.array_distinct(F.filter(F.array(first, F.upper(F.left("city", F.lit(2))), F.lit("QQ")), lambda x: x.isNotNull())), lambda a: entry(a, "acronym", none))
     names = F.concat(F.array(entry(F.col("name"), "label", F.col("source")), entry(F.col("city"), "alias", F.col("segment"))), short)
     return languages.acronym_languages(c.select(F.col("client_id").alias("id"), F.array(F.lit("education")).alias("types"), names.alias("names")))
+
+
+@query("""
+    WITH e AS (SELECT change_id, CASE WHEN city IS NULL THEN 'reg.org/0' ELSE 'https://reg.org/0' END || lpad(CAST(client_id AS VARCHAR), 8, '0') AS record, 'https://reg.org/0' || lpad(CAST(CAST(floor(balance / 4) AS BIGINT) AS VARCHAR), 8, '0') AS related, lower(CASE op WHEN 'I' THEN 'Parent' WHEN 'U' THEN 'Predecessor' ELSE 'Child' END) AS type, source FROM client_changes),
+    k AS (SELECT '0' || lpad(CAST(client_id AS VARCHAR), 8, '0') AS id, min({'r': CASE source WHEN 'store' THEN 0 ELSE 1 END, 's': CASE segment WHEN 'retail' THEN 'active' ELSE segment END}).s AS status FROM clients WHERE client_id IS NOT NULL AND segment IS NOT NULL GROUP BY ALL),
+    s AS (SELECT *, nullif(regexp_extract(record, '^https://[a-z]+\\.org/(0[a-z|0-9]{8})$', 1), '') AS short_record, nullif(regexp_extract(related, '^https://[a-z]+\\.org/(0[a-z|0-9]{8})$', 1), '') AS short_related FROM e)
+    SELECT change_id, short_record, short_related, type, upper(left(source, 1)) || source[2:] AS location,
+        CASE WHEN short_record IS NULL THEN 'record id has a wrong shape' WHEN short_related IS NULL THEN 'related id has a wrong shape' WHEN coalesce(status = 'active' OR type = 'predecessor', false) THEN NULL ELSE 'related record is not active' END AS problem
+    FROM s LEFT JOIN k ON id = short_related""")
+def edge_rows(spark, sf_dir):  # every change as a row of an edge file; the shop's own clients are the release
+    short = lambda c: F.concat(F.lit("0"), F.lpad(c.cast("string"), 8, "0"))
+    c = read(spark, sf_dir, "clients").select(short(F.col("client_id")).alias("record"), "source", F.when(F.col("segment") == "retail", "active").otherwise(F.col("segment")).alias("status"))
+    root = F.when(F.col("city").isNull(), "reg.org/").otherwise("https://reg.org/")
+    e = read(spark, sf_dir, "client_changes").select(
+        "change_id", F.concat(root, short(F.col("client_id"))).alias("record"), F.concat(F.lit("https://reg.org/"), short(F.floor(F.col("balance") / 4))).alias("related"),
+        F.when(F.col("op") == "I", "Parent").when(F.col("op") == "U", "Predecessor").otherwise("Child").alias("type"), F.col("source").alias("location"),
+    )
+    return releases.edge_rows(e, c.filter("source = 'store'"), c.filter("source <> 'store' or source is null")).select("change_id", "short_record", "short_related", "type", "location", "problem")
+
+
+@query("""
+    WITH c AS (SELECT click_id, client_id, props, CASE WHEN json_valid(props) THEN CAST(props AS JSON) END AS p FROM clicks WHERE client_id IS NOT NULL),
+    n AS (SELECT client_id, CAST(max({'i': click_id, 'p': props}).p AS JSON) AS new FROM c WHERE p IS NOT NULL GROUP BY client_id)
+    SELECT click_id, client_id, p IS NOT NULL AS is_json FROM c JOIN n USING (client_id) WHERE p IS NULL OR NOT list_contains(json_keys(p), 'device')
+        OR len(list_filter(json_keys(p), lambda k: nullif(CAST(json_extract(p, '$.' || k) AS VARCHAR), 'null') IS DISTINCT FROM nullif(CAST(json_extract(new, '$.' || k) AS VARCHAR), 'null'))) > 0""")
+def details_refresh(spark, sf_dir):  # P15 with types and absent keys: each click's details against the last ones of its client
+    c = read(spark, sf_dir, "clicks").filter("client_id is not null").select("click_id", "client_id", "props")
+    known = F.try_parse_json("props").isNotNull()
+    new = c.filter(known).groupBy("client_id").agg(F.max(F.struct("click_id", "props"))["props"].alias("new"))
+    d = c.join(new, "client_id").filter(reshape.details_differ(F.col("props"), F.col("new"), ["device"]))
+    return d.select("click_id", "client_id", known.alias("is_json"))
+
+
+@query("""
+    WITH a AS (SELECT city AS common_id, client_id AS record, bool_or(s) AS submitted, bool_or(NOT s) AS registered FROM (SELECT city, client_id, true AS s FROM client_changes UNION ALL SELECT city, client_id, false FROM clients) WHERE city IS NOT NULL AND client_id IS NOT NULL GROUP BY ALL),
+    g AS (SELECT common_id, min(record) AS class_id, count(*) FILTER (submitted) AS n_submitted, count(*) FILTER (registered) AS n_registered FROM a GROUP BY common_id HAVING count(*) > 1)
+    SELECT common_id, record, submitted, registered, class_id, n_submitted, n_registered FROM a JOIN g USING (common_id) WHERE n_submitted > 0 AND n_registered > 0""")
+def overlap_members(spark, sf_dir):  # J5 O9: cities as ids that changes and clients share, all rows of both tables
+    return duplicates.overlap_members(read(spark, sf_dir, "client_changes"), read(spark, sf_dir, "clients"), "client_id", "city")
+
+
+FORM = {
+    "name": ["Name of organization:", "Organization:"], "types": ["Organization type:"], "status": ["Status:"], "links.type.wikipedia": ["Wikipedia page:"],
+    "names.types.label": ["Labels:"], "external_ids.type.fundref.all": ["Crossref Funder ID:"],
+}
+
+
+@query(r"""
+    WITH c AS (SELECT client_id, coalesce(trim(name), '') AS name, coalesce(segment, '') AS segment, coalesce(trim(city), '') AS city FROM clients WHERE client_id IS NOT NULL),
+    t AS (SELECT *, client_id % 4 = 0 AS funded FROM c)
+    SELECT client_id, name, segment || CASE WHEN NOT funded OR contains(segment, 'funder') THEN '' WHEN segment = '' THEN 'funder' ELSE '; funder' END AS types, CASE WHEN client_id % 5 = 0 THEN 'inactive' ELSE 'active' END AS status,
+        'https://en.wikipedia.org/wiki/' || url_encode(name) AS wikipedia, name || CASE WHEN client_id % 3 = 0 AND city <> '' THEN '; ' || city ELSE '' END AS labels FROM t""")
+def issue_rows(spark, sf_dir):  # X23: every client as the text of a request
+    c = read(spark, sf_dir, "clients").filter("client_id is not null")
+    k, of = F.col("client_id"), lambda x: F.coalesce(F.trim(x), F.lit(""))
+    body = F.concat(
+        F.when(k % 2 == 0, "Name of organization: ").otherwise("Name of organization:\nOrganization: "), of("name"), F.lit("\nOrganization type: "), F.upper(of("segment")), F.lit(" (as stated)\nStatus:"), F.when(k % 5 == 0, " inactive").otherwise(""),
+        F.lit("\nWikipedia page: https://en.wikipedia.org/wiki/"), of("name"), F.lit("\nLabels: "), F.when(k % 3 == 0, of("city")).otherwise(""), F.lit("\nCrossref Funder ID:"), F.when(k % 4 == 0, F.concat(F.lit(" 10.1/"), k.cast("string"))).otherwise(""), F.lit("\n"),
+    )
+    d = issues.record_rows(c.select("client_id", body.alias("body")), "body", FORM, "name")
+    return d.select("client_id", "name", "types", "status", F.col("`links.type.wikipedia`").alias("wikipedia"), F.col("`names.types.label`").alias("labels"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import normalize_whitespace, strip
+from .text import find_between, normalize_whitespace, quote_tail, strip
 
 ID = r"https://[a-z]+\.org/0[a-z0-9]{6}[0-9]{2}"
 
@@ -54,6 +54,27 @@ def new_record(body: Column, labels: dict[str, str]) -> list[Column]:
     return [normalize_whitespace(field(body, label)).alias(name) for name, label in labels.items()]
 
 
+def record_rows(issues: DataFrame, body: str, labels: dict[str, list[str]], display: str) -> DataFrame:
+    """Issues with one column for each of labels, what follows the first of its labels that has
+    anything after it on its line, and with what such a row is supplemented by.
+
+    `types` loses what stands in brackets and gains `funder` where there is a funder id; the name in
+    column `display` comes first among the labels; the Wikipedia address is encoded; a status that
+    is empty is active. Nothing found, or a null body, is an empty text."""
+    text = F.coalesce(body, F.lit(""))
+    found = {c: F.coalesce(*(F.nullif(find_between(text, label, "\n"), F.lit("")) for label in of), F.lit("")) for c, of in labels.items()}
+    out = issues.withColumns(found)
+    col = lambda c: F.col(f"`{c}`")
+    types = strip(F.substring_index(F.lower("types"), "(", 1))
+    funder = (col("external_ids.type.fundref.all") != "") & ~F.contains(types, F.lit("funder"))
+    return out.withColumns({
+        "types": F.when(funder, F.concat_ws("; ", F.nullif(types, F.lit("")), F.lit("funder"))).otherwise(types),
+        "links.type.wikipedia": quote_tail(col("links.type.wikipedia")),
+        "names.types.label": F.concat_ws("; ", col(display), F.nullif(col("names.types.label"), F.lit(""))),
+        "status": F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("active")),
+    })
+
+
 def without_invented(original: Column, rewritten: Column) -> Column:
     """The rewritten text without record ids that the original does not have."""
     extra = F.array_except(record_ids(rewritten), record_ids(original))

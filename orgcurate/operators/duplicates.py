@@ -34,6 +34,19 @@ def overlapping_ids(submitted: DataFrame, registry: DataFrame, record: str, valu
     return a.join(b, "common_id").filter(F.col("record") != F.col("other")).select("record", "other", "common_id")
 
 
+def overlap_members(submitted: DataFrame, registry: DataFrame, record: str, value: str) -> DataFrame:
+    """J5 as membership: of every id that a submitted and another registered record have, each record
+    once: common_id, record, submitted, registered, class_id (the least of the id's records),
+    n_submitted, n_registered.
+
+    It says what `overlapping_ids` says, without a row for each pair. Null ids and records have no part."""
+    side = lambda d, s: d.select(F.col(value).alias("common_id"), F.col(record).alias("record"), F.lit(s).alias("submitted"), F.lit(not s).alias("registered"))
+    m = side(submitted, True).unionByName(side(registry, False)).filter("common_id is not null and record is not null")
+    m = m.groupBy("common_id", "record").agg(F.bool_or("submitted").alias("submitted"), F.bool_or("registered").alias("registered"))
+    n = m.groupBy("common_id").agg(F.min("record").alias("class_id"), F.count_if("submitted").alias("n_submitted"), F.count_if("registered").alias("n_registered"), F.count("*").alias("n"))
+    return m.join(n.filter("n_submitted > 0 and n_registered > 0 and n > 1").drop("n"), "common_id").select("common_id", "record", "submitted", "registered", "class_id", "n_submitted", "n_registered")
+
+
 def within(df: DataFrame, key: str, order: str) -> DataFrame:
     """J7, URL branch: (key, first, second): every later row with the first row of its key.
 

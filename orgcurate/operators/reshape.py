@@ -248,6 +248,17 @@ def with_last_modified(df: DataFrame, date: str, version: str | None = None) ->
     return df.withColumn("admin", admin.withField("last_modified.schema_version", F.lit(version)) if version else admin)
 
 
+def details_differ(old: Column, new: Column, required: list[str]) -> Column:
+    """Whether JSON details have to be written anew: a key of the old ones has another value or
+    another type of value in the new ones (1, 1.0 and "1" differ, null and absent do not), or the old
+    ones lack a required key, null or not. Text that is no JSON object has no keys."""
+    keyed = lambda x: F.coalesce(F.from_json(x, "map<string, variant>"), F.create_map().cast("map<string, variant>"))
+    whole = lambda v: F.when(F.schema_of_variant(v) == "BIGINT", " whole").otherwise("")  # noqa: E731  1.0 is written as 1
+    told = lambda m, k: F.nullif(F.concat(F.to_json(F.try_element_at(m, k)), whole(F.try_element_at(m, k))), F.lit("null"))
+    lacks = reduce(lambda a, b: a | b, [~F.map_contains_key(keyed(old), k) for k in required], F.lit(False))
+    return lacks | F.exists(F.map_keys(keyed(old)), lambda k: ~told(keyed(old), k).eqNullSafe(told(keyed(new), k)))
+
+
 def address_changes(df: DataFrame, places: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Records whose place differs in any field from the dimension table."""
     new = places.select(key, F.struct(*fields).alias("_new"))

@@ -238,7 +238,8 @@ def details_refresh(spark, sf_dir):  # P15 with types and absent keys: each clic
     c = read(spark, sf_dir, "clicks").filter("client_id is not null").select("click_id", "client_id", "props")
     known = F.try_parse_json("props").isNotNull()
     new = c.filter(known).groupBy("client_id").agg(F.max(F.struct("click_id", "props"))["props"].alias("new"))
-    d = c.join(new, "client_id").filter(reshape.details_differ(F.col("props"), F.col("new"), ["device"]))
+    differ = F.when(F.col("new").isNotNull(), reshape.details_differ(F.col("props"), F.col("new"), ["device"])).otherwise(False)
+    d = c.join(new, "client_id", "left").withColumn("differ", differ).filter("differ")  # a left join, as Spark fails with this as the condition of a sort-merge join
     return d.select("click_id", "client_id", known.alias("is_json"))
 
 

@@ -251,7 +251,8 @@ def with_last_modified(df: DataFrame, date: str, version: str | None = None) ->
 def details_differ(old: Column, new: Column, required: list[str]) -> Column:
     """Whether JSON details have to be written anew: a key of the old ones has another value or
     another type of value in the new ones (1, 1.0 and "1" differ, null and absent do not), or the old
-    ones lack a required key, null or not. Text that is no JSON object has no keys."""
+    ones lack a required key, null or not. Text that is no JSON object has no keys.
+    After an inner join Spark may make it the condition of a sort-merge join, which fails: take a left join."""
     keyed = lambda x: F.coalesce(F.from_json(x, "map<string, variant>"), F.create_map().cast("map<string, variant>"))
     whole = lambda v: F.when(F.schema_of_variant(v) == "BIGINT", " whole").otherwise("")  # noqa: E731  1.0 is written as 1
     told = lambda m, k: F.nullif(F.concat(F.to_json(F.try_element_at(m, k)), whole(F.try_element_at(m, k))), F.lit("null"))

@@ -27,7 +27,7 @@ SAMPLE = 20_000
 SPARE = 1.5  # the hash bound lets through that many times the sample
 TREES, DEPTH, RATE, BINS, LEAST = 30, 3, 0.3, 32, 20
 #: (verdict, host, path): fits its host and all subdomains if the path starts so; the longest wins.
-RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 #: Words that name unwanted hosts, for labels where there are none of better origin.
 SEEDS = ["ads", "adult", "bets", "casino", "pills", "spam"]
 FEATURES = ["url_length", "host_length", "path_length", "depth", "digit_ratio", "hyphens", "subdomains", "name_length", "name_entropy", "parameters", "query_length", "suffix_rate"]

@@ -5,7 +5,7 @@ import collections
 import duckdb
 
 import __spark_entry__  # noqa: F401  it fills the catalog
-from orgcurate import catalog
+from orgcurate import catalog, catalog_records
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,3 +30,9 @@ def equal_to_sql(spark, con, folder, name):
 def test_keys_that_equal_years(spark, tmp_path):
     con = customer_tables(spark, tmp_path, [(1800, 0), (1904, 4), (1911, 11), (21, 21)])
     assert equal_to_sql(spark, con, tmp_path, "report_new_record_integrity")
+
+
+def test_customers_are_dealt_before_they_are_multiplied(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = catalog_records.customers(spark, SMALL)
+    assert d.rdd.getNumPartitions() == parts > spark.read.parquet(f"{SMALL}/customer.parquet").rdd.getNumPartitions()

@@ -101,10 +101,14 @@ def in_production(submitted: DataFrame, registry: DataFrame, threshold: int = 85
 
     a, b = sided(submitted), sided(registry)
     near = similar_names(a, b, "name", threshold)
-    d = near.join(a.withColumnRenamed("name", "name_a").withColumnRenamed("raw", "input_name"), ["name_a", "block"])
-    d = d.join(b.select(F.col("record").alias("matched"), "block", F.col("raw").alias("matched_name"), F.col("name").alias("name_b")), ["name_b", "block"])
+    # A submitted name is a class with the countries that it has; the best name of each record is
+    # sought once for each class, so that what is shuffled does not grow with the number of pairs.
+    a = a.groupBy("record", F.col("raw").alias("input_name"), F.col("name").alias("name_a")).agg(F.array_sort(F.collect_set("block")).alias("blocks"))
+    classes = a.select("name_a", "blocks").distinct().select("name_a", "blocks", F.explode("blocks").alias("block")).join(near, ["name_a", "block"])
+    known = b.select(F.col("record").alias("matched"), "block", F.col("raw").alias("matched_name"), F.col("name").alias("name_b"))
     best = F.min_by(F.struct("matched_name", "score"), F.struct(-F.col("score"), F.col("matched_name"))).alias("best")
-    return d.groupBy("record", "input_name", "matched").agg(best).select("record", "input_name", "matched", "best.matched_name", "best.score")
+    best = classes.join(known, ["name_b", "block"]).groupBy("name_a", "blocks", "matched").agg(best)
+    return a.join(best, ["name_a", "blocks"]).select("record", "input_name", "matched", "best.matched_name", "best.score")
 
 
 def both_orders(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -6,6 +6,7 @@ import duckdb
 
 import __spark_entry__  # noqa: F401  it fills the catalog
 from orgcurate import catalog, catalog_records
+from orgcurate.operators import duplicates
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -36,3 +37,15 @@ def test_customers_are_dealt_before_they_are_multiplied(spark):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = catalog_records.customers(spark, SMALL)
     assert d.rdd.getNumPartitions() == parts > spark.read.parquet(f"{SMALL}/customer.parquet").rdd.getNumPartitions()
+
+
+def test_production_matches_are_chosen_before_records_are_paired(spark):
+    columns = "record string, country string, name string"
+    own = spark.createDataFrame([("a", "x", "alpha house"), ("a", "y", "alpha house"), ("b", "x", "alpha house"), ("c", "x", "Alpha House*en"), ("c", "x", "beta inn"), ("d", None, "alpha house")], columns)
+    known = spark.createDataFrame([("m", "x", "alpha house"), ("m", "y", "alpha houses"), ("n", "y", "alpha houses"), ("n", "x", "zzzz"), ("o", "x", "beta inns"), ("o", "x", "beta inn*de")], columns)
+    df = duplicates.in_production(own, known)
+    a, b = "alpha house", "alpha houses"
+    want = [("a", a, "m", a, 100), ("a", a, "n", b, 96), ("b", a, "m", a, 100), ("c", "Alpha House*en", "m", a, 100), ("c", "beta inn", "o", "beta inn*de", 100)]
+    assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+    grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "min_by" in line]
+    assert grouped and not any("input_name" in line for line in grouped)

@@ -60,7 +60,7 @@ class Model:
 
 
 def learnt(labelled: DataFrame, text: str, lang: str, grams: int = GRAMS, signs_kept: int = WORDS) -> Model:
-    """From labelled texts, which the caller bounds (`history.stable_sample`)."""
+    """From all labelled texts: they are counted where they lie, and only counts are shuffled."""
     d = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = d.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     many = {r.lang: r.n for r in sorted(found, key=lambda r: r.lang)}

@@ -6,7 +6,7 @@ import duckdb
 
 import __spark_entry__  # noqa: F401  it fills the catalog
 from orgcurate import catalog, catalog_records
-from orgcurate.operators import duplicates
+from orgcurate.operators import detection, duplicates
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -49,3 +49,16 @@ def test_production_matches_are_chosen_before_records_are_paired(spark):
     assert sorted(tuple(r) for r in df.collect()) == sorted(want)
     grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "min_by" in line]
     assert grouped and not any("input_name" in line for line in grouped)
+
+
+def test_detectors_learn_from_all_texts(spark, monkeypatch):
+    plans = []
+    learnt = detection.learnt
+
+    def seen(labelled, *args):
+        plans.append(labelled._jdf.queryExecution().optimizedPlan().toString())
+        return learnt(labelled, *args)
+
+    monkeypatch.setattr(detection, "learnt", seen)
+    catalog.QUERIES["tagged_names"](spark, SMALL)
+    assert len(plans) == 1 and "Limit" not in plans[0]

@@ -6,7 +6,7 @@ import duckdb
 
 import __spark_entry__  # noqa: F401  it fills the catalog
 from orgcurate import catalog, catalog_records
-from orgcurate.operators import detection, duplicates
+from orgcurate.operators import detection, duplicates, releases
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -62,3 +62,13 @@ def test_detectors_learn_from_all_texts(spark, monkeypatch):
     monkeypatch.setattr(detection, "learnt", seen)
     catalog.QUERIES["tagged_names"](spark, SMALL)
     assert len(plans) == 1 and "Limit" not in plans[0]
+
+
+def test_funders_are_matched_by_classes(spark):
+    r = spark.createDataFrame([("r1", "test fund", ["other name"]), ("r2", "test fund", ["other name"]), ("r2", "alpha society", ["beta"]), ("r3", None, ["beta"])], "record string, name string, aliases array<string>")
+    f = spark.createDataFrame([("f1", "test fund"), ("f2", "beta"), ("f2", "test funds"), ("f3", None), ("f4", "beta")], "funder string, name string")
+    df = releases.funder_matches(r, f)
+    want = [("r1", "f1", "name"), ("r1", "f2", "similar"), ("r2", "f1", "name"), ("r2", "f2", "alias"), ("r2", "f4", "alias"), ("r3", "f2", "alias"), ("r3", "f4", "alias")]
+    assert sorted(tuple(x) for x in df.collect()) == want
+    grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "min_by" in line]
+    assert len(grouped) == 1 and "record" not in grouped[0] and "funder" not in grouped[0]

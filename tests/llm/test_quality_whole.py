@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orgcurate.llm import quality
 
 N = 60_000  # half of them good: more than 20,000 to learn from, more than 4,000 of either label for the threshold
@@ -48,3 +49,16 @@ def test_threshold_has_the_fewest_mistakes_on_all_labelled_documents(made):
     assert quality.fitted(docs, labels, ratio) == want
     few = labels.filter("doc_id < 300")  # of one label, and of both but few
     assert quality.fitted(docs, few.filter("quality = 1"), ratio) == quality.THRESHOLD != quality.fitted(docs, few, ratio)
+
+
+def test_pipeline_keeps_what_the_threshold_of_all_labels_keeps(spark, made, tmp_path):
+    docs, labels = made
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    ratio = quality.embedded(quality.model(docs, labels))
+    apart = quality.verdict(quality.base(docs.filter(quality.for_threshold())), ratio, 0.0).filter("not base_failed")
+    rows = apart.join(labels, "doc_id").select("doc_id", "score", "quality").collect()
+    kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path)).select("doc_id").collect()}
+    least, most = min(r.score for r in rows if r.doc_id in kept), max(r.score for r in rows if r.doc_id not in kept)
+    assert least > most
+    mistakes = lambda cut: sum((r.score >= cut) != r.quality for r in rows)
+    assert mistakes(least) == min(mistakes(s) for s in {r.score for r in rows if abs(r.score - least) < 0.001})

@@ -69,17 +69,6 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-SPARE = 1.5
-
-
-def lowest(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """The n rows with the lowest hashes of the key. Rows beyond a bound on the hash that the
-    table's size gives, SPARE times what is wanted, are left out by each task, so that few are sorted."""
-    place = F.xxhash64(key)
-    bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, SPARE * n / max(1, df.count())) * (1 << 64)))
-    return df.filter(place <= bound).orderBy(place, key).limit(n)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -273,7 +273,7 @@ def labelled_words(docs: DataFrame, lab: DataFrame, blocks: int) -> DataFrame:
     cut = docs.filter(to_learn() & (F.coalesce("text", F.lit("")) != "")).mapInArrow(run, f"doc_id {kind}, words binary").filter("length(words) > 0")
     own = cut.join(lab.hint("merge"), "doc_id").groupBy("doc_id", "toxic").agg(F.min("words").alias("words"))
     place = F.crc32(F.concat(F.lit("order"), F.col("doc_id").cast("string")).cast("binary"))
-    own = own.select("doc_id", block(blocks).alias("block"), place.alias("place"), "toxic", "words").repartition(blocks, "block").sortWithinPartitions("block", "place", "doc_id")
+    own = own.select("doc_id", block(blocks).alias("block"), place.alias("place"), "toxic", "words").repartitionById(blocks, "block").sortWithinPartitions("block", "place", "doc_id")
     return written(own.select("block", "toxic", "words"), "toxicity-words")
 
 

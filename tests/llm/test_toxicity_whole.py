@@ -92,3 +92,9 @@ def test_rounding_leaves_no_negative_squares():
     texts = [(np.array([k, 9]), np.array([70_000 + k, 70_009])) for k in range(8)]
     again.train(texts, np.arange(8) % 2, None, 1, range(1))
     assert np.isfinite(again.state()).all() and again.steps == 1
+
+
+def test_no_task_gets_two_blocks(made):
+    docs, labels = made
+    rows = toxicity.labelled_words(docs, toxicity.marks(labels), 7).select("block", F.col("_metadata.file_name").alias("file")).distinct().collect()
+    assert len({r.file for r in rows}) == len(rows) == 7

@@ -11,6 +11,12 @@ a sample with a probability of their weighted Jaccard similarity; texts that agr
 all samples of a band are candidates, and the similarity itself, worked out on both
 whole texts, decides. Classes are the connected components of the links.
 
+The shingles of a group of copies are the more frequent, and so the lighter, the larger
+the group is, while what a copy has of its own stays rare: by these weights alone copies
+would grow apart with their number. Texts are therefore sampled and compared by their
+counts alone as well (BANDS samples of each kind, all from the same random numbers), and
+a link is a similarity of THRESHOLD by either kind of weights.
+
 Texts with equal shingles and counts are one class from the start, by partial
 aggregation. In a band's bucket each remaining text is first tested against the bucket's
 first text and the one before it, which joins most of what is alike; buckets are split
@@ -18,11 +24,11 @@ by PARTS for that, so that none falls to one task whole. Then every pair that sh
 bucket and is not in one class yet is tested too. In buckets of more than BLOCK texts
 most pairs are far below the threshold, so their texts are sampled again in LONG_BANDS
 bands of LONG_ROWS, and pairs are those that agree on such a band. A bucket that is
-still large is cut into blocks of BLOCK texts or so, its largest class apart from the
+still large is cut into blocks of LONG_BLOCKS x BLOCK texts or so, its largest class apart from the
 rest; each pair of blocks but those within the largest class is a group of its own. So
 no link between texts of a bucket depends on the order of doc_id. Texts whose similarity
-is THRESHOLD share a bucket in at least one band with probability
-1 - (1 - THRESHOLD**ROWS)**BANDS, over 0.99999, for either kind of bands.
+is THRESHOLD by one kind of weights share a bucket in at least one band of these with
+probability 1 - (1 - THRESHOLD**ROWS)**BANDS, over 0.99999, for either kind of bands.
 
 Defined results: null, empty and blank texts and documents with a null doc_id are a
 class of their own; the class id is the least doc_id of the class; rows that repeat a
@@ -44,7 +50,7 @@ from ._text import MULT, U64, Words, combine, mix, random_table, slices, strings
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 2
-LONG_BANDS, LONG_ROWS = 40, 6
+LONG_BANDS, LONG_ROWS, LONG_BLOCKS = 40, 6, 4
 BUCKETS, PARTS, BLOCK = 1 << 18, 1024, 64
 #: Ids that may be broadcast: 8 MB.
 FEW = 1 << 20
@@ -106,23 +112,30 @@ def seeds(many: int) -> np.ndarray:
 
 def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, many: int) -> np.ndarray:
     """(n, many) samples as 64-bit values; 0 for rows without shingles."""
-    out = np.zeros((n, many), U64)
+    return samples_by(row, h, [weight], n, many)[0]
+
+
+def samples_by(row: np.ndarray, h: np.ndarray, weights: list[np.ndarray], n: int, many: int) -> np.ndarray:
+    """(kinds of weights, n, many) samples, those of all kinds from the same random numbers."""
+    out = np.zeros((len(weights), n, many), U64)
     if not len(row):
         return out
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     size = np.diff(np.append(first, len(row)))
-    log_w = np.log(weight).astype(np.float32)
+    logs = [np.log(w).astype(np.float32) for w in weights]
     spread, log_c = gamma_tables()
     with np.errstate(over="ignore"):
         for k, seed in enumerate(seeds(many).tolist()):
             u = mix(h ^ U64(seed))
             r = spread[(u >> U64(52)).astype(np.int64)]
             beta = (u & U64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
-            t = np.floor(log_w / r + beta)
-            log_a = log_c[(u >> U64(36)).astype(np.int64) & 0xFFFF] - r * (t + 1 - beta)
-            best = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, first), size))
-            best = best[np.concatenate([[True], row[best[1:]] != row[best[:-1]]])]
-            out[row[best], k] = mix(h[best] + t[best].astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+            c = log_c[(u >> U64(36)).astype(np.int64) & 0xFFFF]
+            for kind, log_w in enumerate(logs):
+                t = np.floor(log_w / r + beta)
+                log_a = c - r * (t + 1 - beta)
+                best = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, first), size))
+                best = best[np.concatenate([[True], row[best[1:]] != row[best[:-1]]])]
+                out[kind, row[best], k] = mix(h[best] + t[best].astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
     return out
 
 
@@ -173,7 +186,8 @@ def inverse(count: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """doc_id, print (of all shingles with counts), keys (one for each band) of texts with words."""
+    """doc_id, print (of all shingles with counts), keys (one for each band and kind of weights) of texts with words."""
+    many = 2 * bands
     schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,9 +195,10 @@ def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
             ids = b.column("doc_id")
             for i, j, d, o in slices(*strings(b.column("text"))):
                 row, h, n = shingles(d, o)
-                s = samples(row, h, n * idf.value[bucket(h)], j - i, bands * rows).reshape(j - i, bands, rows)
+                s = samples_by(row, h, [n * idf.value[bucket(h)], n], j - i, bands * rows)
+                s = s.transpose(1, 0, 2).reshape(j - i, many, rows)
                 with np.errstate(over="ignore"):
-                    key = mix(combine_rows(s) + np.arange(bands, dtype=U64) * U64(0xBF58476D1CE4E5B9)).view(np.int64)
+                    key = mix(combine_rows(s) + np.arange(many, dtype=U64) * U64(0xBF58476D1CE4E5B9)).view(np.int64)
                     one = mix(h + n.astype(U64) * U64(0xD6E8FEB86659FD93))
                     whole = np.zeros(j - i, U64)
                     np.add.at(whole, row, one)  # the shingles are distinct: their sum is the same in any order
@@ -191,7 +206,7 @@ def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
                 has = np.zeros(j - i, bool)
                 has[row] = True
                 at = np.flatnonzero(has)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * bands, pa.int32()), pa.array(key[at].ravel()))
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * many, pa.int32()), pa.array(key[at].ravel()))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i).take(pa.array(at)), pa.array(whole[at]), keys], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, print long, keys array<long>")
@@ -219,24 +234,27 @@ def candidates(firsts: DataFrame) -> DataFrame:
     return out.filter("a < b").distinct()
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two sets of (sorted hashes, weights)."""
+def similarity(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
+    """Weighted Jaccard similarity of two sets of (sorted hashes, weights), by the kind of weights that makes it greatest."""
     at = np.searchsorted(b[0], a[0])
     at[at == len(b[0])] = 0
     both = b[0][at] == a[0]
-    common = float(np.minimum(a[1][both], b[1][at[both]]).sum())
-    total = float(a[1].sum() + b[1].sum()) - common
-    return common / total if total else 0.0
+    best, at = 0.0, at[both]
+    for x, y in zip(a[1:], b[1:], strict=True):
+        common = float(np.minimum(x[both], y[at]).sum())
+        total = float(x.sum() + y.sum()) - common
+        best = max(best, common / total if total else 0.0)
+    return best
 
 
-def weighted(column: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(sorted hashes, weights) of each text's shingles."""
+def weighted(column: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(sorted hashes, weights, counts) of each text's shingles."""
     out = []
     for i, j, d, o in slices(*strings(column)):
         row, h, n = shingles(d, o)
         w = n * idf.value[bucket(h)]
         cut = np.searchsorted(row, np.arange(j - i + 1))
-        out += [(h[x:y], w[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        out += [(h[x:y], w[x:y], n[x:y]) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
     return out
 
 
@@ -269,14 +287,15 @@ def mixed(labelled: DataFrame, least: int) -> DataFrame:
     return rows.join(some.select("key", "n"), "key").select("key", "n", "doc_id", "root")
 
 
-def blocks(rows: DataFrame) -> DataFrame:
+def blocks(rows: DataFrame, least: int) -> DataFrame:
     """key, i, j, block, doc_id, root: the texts of mixed buckets, under every pair of blocks
     (i <= j) that their own block is part of and that may hold new links. The blocks of the
-    bucket's largest class come last and are paired with the others only."""
+    bucket's largest class come last and are paired with the others only. Blocks hold about
+    `least` texts; in their number each text is repeated."""
     size = rows.groupBy("key", "root").agg(F.count("*").alias("size"))
     size = size.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.max("size").alias("most"), F.sum("size").alias("n"))
-    few = F.col("n") <= BLOCK
-    size = size.select("key", "main", F.when(few, 1).otherwise(F.ceil((F.col("n") - F.col("most")) / BLOCK)).cast("long").alias("many"), F.when(few, 0).otherwise(F.ceil(F.col("most") / BLOCK)).cast("long").alias("last"))
+    few = F.col("n") <= least
+    size = size.select("key", "main", F.when(few, 1).otherwise(F.ceil((F.col("n") - F.col("most")) / least)).cast("long").alias("many"), F.when(few, 0).otherwise(F.ceil(F.col("most") / least)).cast("long").alias("last"))
     rows = rows.drop("n").join(size, "key")
     inside = (F.col("root") == F.col("main")) & (F.col("last") > 0)
     place = F.xxhash64("doc_id")
@@ -296,16 +315,16 @@ def links_within(blocked: DataFrame, signed: DataFrame, texts: DataFrame, idf, t
     def run(t: pa.Table) -> pa.Table:
         key, i, j = (t.column(c)[0].as_py() for c in ("key", "i", "j"))
         block, root = (t.column(c).to_numpy() for c in ("block", "root"))
-        keys = np.array(t.column("keys").to_pylist(), np.int64)
+        keys = pa.concat_arrays(t.column("keys").chunks).flatten().to_numpy().reshape(len(t), -1)
         sets = weighted(pa.concat_arrays(t.column("text").chunks), idf)
-        whole = np.array([w.sum() for _, w in sets])
+        whole = np.array([[w.sum() for w in s[1:]] for s in sets])
         names, mine = np.unique(root, return_inverse=True)
         out = []
         for x in range(len(sets) - 1):
             band = int(np.flatnonzero(keys[x] == key)[0])
             at = np.arange(x + 1, len(sets))
             ok = ~(keys[at, :band] == keys[x, :band]).any(1)
-            ok &= np.minimum(whole[at], whole[x]) >= (threshold - 1e-9) * np.maximum(whole[at], whole[x])  # the similarity is at most their ratio
+            ok &= (np.minimum(whole[at], whole[x]) >= (threshold - 1e-9) * np.maximum(whole[at], whole[x])).any(1)  # a similarity is at most their ratio
             if i < j:
                 ok &= block[at] != block[x]
             for y in at[ok].tolist():
@@ -353,11 +372,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labelled = written(firsts.join(roots, "doc_id", "left").select("print", "doc_id", F.coalesce("root", "doc_id").alias("root"), "keys"), "labelled")
     rows = written(mixed(only(labelled, ids), 3), "mixed")  # the first pass has tested the pair of a bucket of two
     texts = written(only(texts, rows.select("doc_id").distinct()), "texts")
-    few = blocks(rows.filter(F.col("n") <= BLOCK))
+    few = blocks(rows.filter(F.col("n") <= BLOCK), BLOCK)
     near = links_within(few, labelled, texts, idf, threshold)
     crowd = texts.join(rows.filter(F.col("n") > BLOCK).select("doc_id").distinct(), "doc_id", "left_semi")
     again = written(signatures(crowd, idf, LONG_BANDS, LONG_ROWS).select("doc_id", "keys").dropDuplicates(["doc_id"]), "long-signatures")
-    long_ = blocks(mixed(again.join(labelled.select("doc_id", "root"), "doc_id"), 2))
+    long_ = blocks(mixed(again.join(labelled.select("doc_id", "root"), "doc_id"), 2), LONG_BLOCKS * BLOCK)
     near = near.unionByName(links_within(long_, again, texts, idf, threshold))
     joined = components(written(near, "links"))
     joined = joined.select(F.col("node").alias("root"), F.col("root").alias("least"))

@@ -72,3 +72,26 @@ def test_funders_are_matched_by_classes(spark):
     assert sorted(tuple(x) for x in df.collect()) == want
     grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "min_by" in line]
     assert len(grouped) == 1 and "record" not in grouped[0] and "funder" not in grouped[0]
+
+
+def test_members_of_classes_are_paired_in_chunks(spark, monkeypatch):
+    from orgcurate.operators import pairing
+
+    left = [("a", i) for i in range(40)] + [("b", 40), ("c", 41), ("a", 3), ("a", None)]
+    right = [("x", f"m{i}") for i in range(50)] + [("y", "n"), ("z", "o"), ("x", "m3")]
+    near = [("a", "x", 1), ("a", "y", 2), ("b", "x", 3), ("q", "x", 4), ("c", "w", 5)]
+    monkeypatch.setattr(pairing, "CHUNK", 8)
+    monkeypatch.setattr(pairing, "PART", 8)
+    tables = [spark.createDataFrame(t, s) for t, s in ((near, "l string, r string, kind int"), (left, "l string, id int"), (right, "r string, name string"))]
+    df = pairing.paired(*tables, "l", "r")
+    want = collections.Counter((i, k, n) for a, b, k in near for x, i in left for y, n in right if x == a and y == b)
+    assert df.columns == ["id", "kind", "name"] and collections.Counter(map(tuple, df.collect())) == want
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))  # however few bytes the classes have
+
+
+def test_pairs_of_funders_are_made_in_many_tasks(spark):
+    r = spark.range(3000).selectExpr("id as record", "'test fund' as name", "cast(array() as array<string>) as aliases")
+    f = spark.range(3000).selectExpr("id as funder", "'test fund' as name")
+    df = releases.funder_matches(r, f)
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert df.count() == 3000 * 3000 and df.distinct().count() == 3000 * 3000

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from .names import similar_names  # noqa: F401  also a public name of this module
+from .pairing import paired
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -108,7 +109,10 @@ def in_production(submitted: DataFrame, registry: DataFrame, threshold: int = 85
     known = b.select(F.col("record").alias("matched"), "block", F.col("raw").alias("matched_name"), F.col("name").alias("name_b"))
     best = F.min_by(F.struct("matched_name", "score"), F.struct(-F.col("score"), F.col("matched_name"))).alias("best")
     best = classes.join(known, ["name_b", "block"]).groupBy("name_a", "blocks", "matched").agg(best)
-    return a.join(best, ["name_a", "blocks"]).select("record", "input_name", "matched", "best.matched_name", "best.score")
+    key, same = F.struct("name_a", "blocks"), a.select("name_a", "blocks").distinct()
+    near = same.select(key.alias("of_matched"), key.alias("of_input"))
+    best = best.select(key.alias("of_matched"), "matched", "best.matched_name", "best.score")
+    return paired(near, best, a.select(key.alias("of_input"), "record", "input_name"), "of_matched", "of_input").select("record", "input_name", "matched", "matched_name", "score")
 
 
 def both_orders(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -95,3 +95,30 @@ def test_pairs_of_funders_are_made_in_many_tasks(spark):
     df = releases.funder_matches(r, f)
     assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert df.count() == 3000 * 3000 and df.distinct().count() == 3000 * 3000
+
+
+def test_names_are_scored_without_a_row_for_each_trigram(spark):
+    texts = spark.createDataFrame([("en", "the house of the north 𝒜b"), ("fr", "la maison du nord é"), ("de", None), (None, "x")], "lang string, text string")
+    model = detection.learnt(texts, "text", "lang")
+    names = ["the house", "la maison é", "", "12 -", None, "𝒜b", "Ωμέγα", "the house", "zzzz"]
+    df = detection.detected(spark.createDataFrame([(n,) for n in names], "name string"), "name", model)
+    assert "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.name: ([x.lang for x in r.by_grams], [(x.lang, x.score) for x in r.by_signs]) for r in df.collect()}
+    assert len(got) == len(set(names)) - 1 and [got["the house"][0][0], got["la maison é"][0][0]] == ["en", "fr"]
+    assert got[""] == got["12 -"] == ([], []) and got["zzzz"][1] == [] and got["Ωμέγα"] == (["el"], [("el", 1.0)])
+    assert got["the house"][1] == [("en", 1.0)] and got["la maison é"][1] == [("fr", 1.0)] and got["𝒜b"][1] == [("en", 1.0)]
+
+
+def test_trigrams_of_slices(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(detection, "LETTERS", 7)
+    texts = [" the 𝒜b ", "  ", " é ", "", " x yz ", " ab "]
+    want = collections.Counter(t[k : k + 3] for t in texts for k in range(len(t) - 2))
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["a", "b"] * 3), "x": pa.array(texts)}).slice(0)
+    got = collections.Counter()
+    for b in detection.counted(iter([batch])):
+        for lang, token, n in zip(*(b.column(c).to_pylist() for c in ("lang", "token", "n")), strict=True):
+            got[token] += n
+            assert any(token in t for t in texts["ab".index(lang) :: 2])
+    assert got == want and list(detection.slices(pa.array(texts))) != [(0, len(texts))]
